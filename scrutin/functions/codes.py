@@ -20,17 +20,34 @@ def _zero_filled(text: Column, width: int) -> Column:
     return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
 
 
-def padded_code(value: Column | str, width: int) -> Column:
-    """Upper-case code; all-digit codes are zero-filled to ``width``; missing spellings are null."""
-    text = stripped_upper(value)
+# The `…_of` functions take texts that are trimmed and in upper case already. Jobs clean a column in
+# one projection and derive codes in the next, which keeps the cleaning out of every branch below.
+
+
+def padded_of(text: Column, width: int) -> Column:
     filled = F.when(text.rlike(DIGITS), _zero_filled(text, width)).otherwise(text)
     return F.when(~is_missing(text), filled)
 
 
+def label_of(text: Column) -> Column:
+    return F.when(is_missing(text), F.lit(UNCLASSIFIED)).otherwise(text)
+
+
+def commune_of(department: Column, commune: Column) -> Column:
+    """``department`` is a padded code here."""
+    local = commune.rlike(DIGITS) & (F.length(commune) <= 3)
+    full = F.when(local, F.concat(department, _zero_filled(commune, 3))).otherwise(commune)
+    return F.when(~is_missing(commune) & department.isNotNull(), full)
+
+
+def padded_code(value: Column | str, width: int) -> Column:
+    """Upper-case code; all-digit codes are zero-filled to ``width``; missing spellings are null."""
+    return padded_of(stripped_upper(value), width)
+
+
 def label_or_unclassified(value: Column | str) -> Column:
     """Political label in upper case, ``NC`` where there is none."""
-    text = stripped_upper(value)
-    return F.when(is_missing(text), F.lit(UNCLASSIFIED)).otherwise(text)
+    return label_of(stripped_upper(value))
 
 
 def commune_code(department: Column | str, commune: Column | str) -> Column:
@@ -39,11 +56,7 @@ def commune_code(department: Column | str, commune: Column | str) -> Column:
     A number of up to three digits is local to its department and gets the department in
     front. Anything else is taken to be complete. Null when either part is missing.
     """
-    dep = padded_code(department, 2)
-    com = stripped_upper(commune)
-    local = com.rlike(DIGITS) & (F.length(com) <= 3)
-    full = F.when(local, F.concat(dep, _zero_filled(com, 3))).otherwise(com)
-    return F.when(~is_missing(com) & dep.isNotNull(), full)
+    return commune_of(padded_code(department, 2), stripped_upper(commune))
 
 
 def is_overseas(department: Column | str) -> Column:

@@ -10,10 +10,6 @@ from scrutin.functions.text import as_column, stripped
 # Keeps the engine's own extensions out (`1d`, `Infinity`, hexadecimal).
 DECIMAL_TEXT = r"\A[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 
-# The largest magnitude at which every integer still has its own double.
-EXACT_DOUBLE = float(2**53)
-
-
 def _double_of(text: Column) -> Column:
     parsed = F.when(text.rlike(DECIMAL_TEXT), text.try_cast("double"))
     return F.when(F.abs(parsed) < F.lit(float("inf")), parsed)
@@ -24,19 +20,20 @@ def lenient_double(value: Column | str) -> Column:
     return _double_of(stripped(value))
 
 
+def long_of(text: Column) -> Column:
+    """Like :func:`lenient_long` for a text that is trimmed already."""
+    as_double = F.when(text.rlike(DECIMAL_TEXT), text.try_cast("double"))
+    integral = F.when(as_double % 1 == 0, as_double.try_cast("bigint"))
+    # The first branch settles nearly every row without touching the pattern.
+    return F.coalesce(text.try_cast("bigint"), integral)
+
+
 def lenient_long(value: Column | str) -> Column:
     """Whole number held in a text, including spellings like ``12.0`` or ``1e3``.
 
     A fractional value is not a whole number and gives null.
     """
-    text = stripped(value)
-    as_double = _double_of(text)
-    integral = F.when(
-        (as_double == F.floor(as_double)) & (F.abs(as_double) <= F.lit(EXACT_DOUBLE)),
-        as_double.cast("bigint"),
-    )
-    # The first branch settles nearly every row without touching the pattern.
-    return F.coalesce(text.try_cast("bigint"), integral)
+    return long_of(stripped(value))
 
 
 def localised_double(value: Column | str, extra_spaces: str = "") -> Column:

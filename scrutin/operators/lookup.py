@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,14 +17,22 @@ HOT_ROWS = 10_000_000
 BROADCAST_ROWS = 100_000
 
 
-def _same_key(keys: Sequence[str], null_safe: bool) -> Column:
-    pairs = ((F.col(k), F.col(_right_name(k))) for k in keys)
-    tests = (a.eqNullSafe(b) if null_safe else a == b for a, b in pairs)
+# Shares that hot rows are spread over in the shuffle of the other rows.
+SPREAD = 1 << 20
+
+
+def _same_key(keys: Sequence[str], other: Callable[[str], str], null_safe: bool) -> Column:
+    pairs = [(F.col(k), F.col(other(k))) for k in keys]
+    tests = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
     return reduce(lambda a, b: a & b, tests)
 
 
-def _right_name(key: str) -> str:
-    return f"__lookup_{key}"
+def _other(name: str) -> str:
+    return f"__table_{name}"
+
+
+def _hot(name: str) -> str:
+    return f"__hot_{name}"
 
 
 def lookup(
@@ -45,27 +53,35 @@ def lookup(
     key. ``right_rows`` is the known size of ``right``; a small one is broadcast whole.
     The weight column is not part of the result.
     """
-    renamed = right.select(
-        *[F.col(k).alias(_right_name(k)) for k in keys],
-        *[F.col(c) for c in right.columns if c not in keys],
-    )
     values = [c for c in right.columns if c not in keys and c != weight]
     out = [*left.columns, *values]
-
-    same = _same_key(keys, null_safe)
-
-    def join(rows: DataFrame, table: DataFrame, how: str) -> DataFrame:
-        return rows.join(table, same, how)
-
+    renamed = right.select(
+        *[F.col(k).alias(_other(k)) for k in keys], *[F.col(c) for c in right.columns if c not in keys]
+    )
     if right_rows is not None and right_rows <= BROADCAST_ROWS:
-        return join(left, F.broadcast(renamed), "left").select(*out)
+        return left.join(F.broadcast(renamed), _same_key(keys, _other, null_safe), "left").select(*out)
     if weight is None:
-        return join(left, renamed, "left").select(*out)
+        return left.join(renamed, _same_key(keys, _other, null_safe), "left").select(*out)
 
-    hot = F.broadcast(renamed.filter(F.col(weight) >= hot_rows))
-    answered = join(left, hot, "inner").select(*out)
-    others = join(left, hot, "left_anti")
-    return answered.unionByName(join(others, renamed, "left").select(*out))
+    hot = renamed.filter(F.col(weight) >= hot_rows).select(
+        *[F.col(_other(k)).alias(_hot(k)) for k in keys],
+        *[F.col(v).alias(_hot(v)) for v in values],
+        F.col(weight).alias(_hot(weight)),
+    )
+    answered = F.col(_hot(weight)).isNotNull()
+    # Hot rows have their answer; in the second join they are spread evenly and match nothing.
+    # Row content and input partition are the same when a task is run again.
+    spread = 2 + F.pmod(F.xxhash64(F.spark_partition_id(), *left.columns), F.lit(SPREAD))
+    tagged = left.join(F.broadcast(hot), _same_key(keys, _hot, null_safe), "left").withColumn(
+        "__side", F.when(answered, spread).otherwise(F.lit(0).cast("bigint"))
+    )
+    # Both joins read the same columns of the table, so its shuffle is computed once.
+    sided = renamed.withColumn("__table_side", (F.col(weight) >= hot_rows).cast("bigint"))
+    same = _same_key(keys, _other, null_safe) & (F.col("__side") == F.col("__table_side"))
+    return tagged.join(sided, same, "left").select(
+        *left.columns,
+        *[F.when(answered, F.col(_hot(v))).otherwise(F.col(v)).alias(v) for v in values],
+    )
 
 
 def semi(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

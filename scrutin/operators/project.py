@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scrutin.functions.numbers import lenient_long
+from scrutin.functions.numbers import long_of
+from scrutin.functions.text import stripped
 
 
 def quoted_name(name: str) -> str:
@@ -42,22 +43,29 @@ def patch_cells(df: DataFrame, patches: Sequence[Patch]) -> DataFrame:
     return df.select(*out)
 
 
+def parse_longs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Texts of the given columns as whole numbers; columns that are no texts stay."""
+    types = dict(df.dtypes)
+    texts = [c for c in columns if types[c] == "string"]
+    if not texts:
+        return df
+    trimmed = df.withColumns({c: stripped(c) for c in texts})
+    return trimmed.withColumns({c: long_of(F.col(c)) for c in texts})
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the columns of ``schema`` in its order: missing ones null, others dropped.
 
     Text meant for an integer column is parsed leniently.
     """
-    types = dict(df.dtypes)
-    out = []
-    for field in schema.fields:
-        if field.name not in types:
-            cell = F.lit(None).cast(field.dataType)
-        elif types[field.name] == "string" and isinstance(field.dataType, T.LongType):
-            cell = lenient_long(field.name)
-        else:
-            cell = F.col(field.name).cast(field.dataType)
-        out.append(cell.alias(field.name))
-    return df.select(*out)
+    whole = [f.name for f in schema.fields if isinstance(f.dataType, T.LongType)]
+    df = parse_longs(df, [c for c in whole if c in df.columns])
+    return df.select(
+        *[
+            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
+    )
 
 
 def stack(frames: Sequence[DataFrame]) -> DataFrame:

@@ -10,11 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scrutin.functions.codes import candidate_key, election_key, star_commune_code
-from scrutin.functions.numbers import lenient_long
 from scrutin.functions.text import stripped
 from scrutin.operators.keys import dense_id, first_per_key
 from scrutin.operators.lookup import HOT_ROWS, lookup
-from scrutin.operators.project import with_unknown_member
+from scrutin.operators.project import parse_longs, with_unknown_member
 from scrutin.operators.rules import (
     assert_valid,
     count_dangling,
@@ -54,20 +53,14 @@ def prepare(flat: DataFrame) -> DataFrame:
     names = [f.name for f in FLAT.fields]
     require_columns(flat, names, "flat table")
     texts = [f.name for f in FLAT.fields if f.dataType.typeName() == "string"]
-    numbers = [n for n in names if n not in texts]
-    types = dict(flat.dtypes)
-    parsed = {n: lenient_long(n) if types[n] == "string" else F.col(n).cast("bigint") for n in numbers}
-    out = {
-        **parsed,
-        **{t: stripped(t) for t in texts},
-        "code_commune": star_commune_code("code_commune"),
+    keys = {
         "election_nk": election_key("annee_election", "tour"),
         "candidat_nk": candidate_key(*CANDIDATE_KEY),
     }
     raw = {f"raw_{c}": F.col(c) for c in FLAT_ORDER if c in texts}
-    return flat.select(
-        *[c.alias(n) for n, c in out.items()], *[c.alias(n) for n, c in raw.items()]
-    )
+    rows = flat.select(*names).withColumns({**keys, **raw, **{t: stripped(t) for t in texts}})
+    rows = parse_longs(rows, [n for n in names if n not in texts])
+    return rows.withColumn("code_commune", star_commune_code("code_commune"))
 
 
 # Table -> natural key and surrogate key.
