@@ -199,7 +199,7 @@ from part
 
 
 def locale_number(spark: SparkSession, folder: str) -> DataFrame:
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
     whole, rest = F.floor(cents / 100).cast("bigint"), F.pmod(cents, F.lit(100))
     grouped = F.concat(
         F.floor(whole / 1000).cast("bigint"),
@@ -212,7 +212,7 @@ def locale_number(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
-        F.round(localised_double(written) * 100).cast("bigint").alias("cents"),
+        F.rint(localised_double(written) * 100).cast("bigint").alias("cents"),
     )
 
 

@@ -297,7 +297,7 @@ def _wide(spark: SparkSession, folder: str) -> DataFrame:
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("CODGEO"),
         F.concat(amount, F.lit(" 000,5")).alias("P11_QTY"),
         F.when(F.col("l_linestatus") == "O", F.lit("s")).otherwise(amount).alias("P16_QTY"),
-        F.concat(F.lit("0,"), F.lpad(F.round(F.col("l_tax") * 100).cast("int").cast("string"), 2, "0")).alias("P16_TAX"),
+        F.concat(F.lit("0,"), F.lpad(F.rint(F.col("l_tax") * 100).cast("int").cast("string"), 2, "0")).alias("P16_TAX"),
         F.col("l_returnflag").alias("C11_FLAG"),
         F.col("l_linestatus").alias("C16_FLAG"),
         F.col("l_shipdate").cast("string").alias("UNUSED"),
@@ -305,7 +305,7 @@ def _wide(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _hundredths(column: str):
-    return F.round(F.col(column) * 100).cast("bigint").alias(column)
+    return F.rint(F.col(column) * 100).cast("bigint").alias(column)
 
 
 def wide_volume(spark: SparkSession, folder: str) -> DataFrame:

@@ -38,7 +38,7 @@ def flat(spark: SparkSession, folder: str) -> DataFrame:
             F.year("o_orderdate").cast("bigint").alias("yr"),
             F.col("n_name").alias("geo"),
             F.col("o_orderkey").alias("unit"),
-            F.round(F.col("o_totalprice") * 100).cast("bigint").alias("tot"),
+            F.rint(F.col("o_totalprice") * 100).cast("bigint").alias("tot"),
             F.col("p_brand").alias("cand"),
             F.col("l_quantity").cast("bigint").alias("votes"),
         )

@@ -5,12 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from scrutin.functions.text import as_column, blank_to_null, is_missing, stripped, stripped_upper
+from scrutin.functions.text import (
+    as_column,
+    blank_to_null,
+    is_missing,
+    made_of,
+    stripped,
+    stripped_upper,
+)
 
-DIGITS = r"\A[0-9]+\z"
+DIGITS = "0123456789"
 
 # Fixed values.
-OVERSEAS = r"\A(Z.|9[0-9][0-9])\z"
 UNCLASSIFIED = "NC"
 UNKNOWN = "UNKNOWN"
 
@@ -25,7 +31,7 @@ def _zero_filled(text: Column, width: int) -> Column:
 
 
 def padded_of(text: Column, width: int) -> Column:
-    filled = F.when(text.rlike(DIGITS), _zero_filled(text, width)).otherwise(text)
+    filled = F.when(made_of(text, DIGITS), _zero_filled(text, width)).otherwise(text)
     return F.when(~is_missing(text), filled)
 
 
@@ -35,7 +41,7 @@ def label_of(text: Column) -> Column:
 
 def commune_of(department: Column, commune: Column) -> Column:
     """``department`` is a padded code here."""
-    local = commune.rlike(DIGITS) & (F.length(commune) <= 3)
+    local = made_of(commune, DIGITS) & (F.length(commune) <= 3)
     full = F.when(local, F.concat(department, _zero_filled(commune, 3))).otherwise(commune)
     return F.when(~is_missing(commune) & department.isNotNull(), full)
 
@@ -60,8 +66,14 @@ def commune_code(department: Column | str, commune: Column | str) -> Column:
 
 
 def is_overseas(department: Column | str) -> Column:
-    """True for overseas departments; false, not null, for a null department."""
-    return F.coalesce(stripped_upper(department).rlike(OVERSEAS), F.lit(False))
+    """True for overseas departments (``Z`` and a character, or 900 to 999).
+
+    False, not null, for a null department.
+    """
+    text = stripped_upper(department)
+    lettered = F.startswith(text, F.lit("Z")) & (F.length(text) == 2)
+    numbered = F.startswith(text, F.lit("9")) & (F.length(text) == 3) & made_of(text, DIGITS)
+    return F.coalesce(lettered | numbered, F.lit(False))
 
 
 def star_commune_code(value: Column | str) -> Column:

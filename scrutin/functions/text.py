@@ -34,6 +34,14 @@ def blank_to_null(value: Column | str) -> Column:
     return F.nullif(stripped(value), F.lit(""))
 
 
+def made_of(text: Column, alphabet: str) -> Column:
+    """True when every character is in ``alphabet``; also for an empty text.
+
+    Cheaper than a pattern, which has to decode each text first.
+    """
+    return F.btrim(text, F.lit(alphabet)) == ""
+
+
 def is_missing(trimmed_upper: Column) -> Column:
     """True for null and for the texts that stand for a missing code. Expects trimmed upper case."""
     return trimmed_upper.isNull() | trimmed_upper.isin(*MISSING_CODES)

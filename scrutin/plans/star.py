@@ -57,10 +57,31 @@ def prepare(flat: DataFrame) -> DataFrame:
         "election_nk": election_key("annee_election", "tour"),
         "candidat_nk": candidate_key(*CANDIDATE_KEY),
     }
-    raw = {f"raw_{c}": F.col(c) for c in FLAT_ORDER if c in texts}
+    # Raw spellings only decide an order; they are kept where they differ from the cleaned text.
+    raw = {_raw(c): F.col(c) for c in FLAT_ORDER if c in texts}
     rows = flat.select(*names).withColumns({**keys, **raw, **{t: stripped(t) for t in texts}})
     rows = parse_longs(rows, [n for n in names if n not in texts])
-    return rows.withColumn("code_commune", star_commune_code("code_commune"))
+    rows = rows.withColumn("code_commune", star_commune_code("code_commune"))
+    return rows.withColumns({r: F.when(~F.col(r).eqNullSafe(F.col(c)), F.col(r)) for r, c in
+                             ((_raw(c), c) for c in FLAT_ORDER if c in texts)})
+
+
+def _raw(column: str) -> str:
+    return f"raw_{column}"
+
+
+def _in_flat_order(rows: DataFrame, attributes: Sequence[str]) -> DataFrame:
+    """Rows with the columns ``order0, …`` that sort them like the flat table.
+
+    The order ends where it has settled the attributes.
+    """
+    needed = max(FLAT_ORDER.index(c) for c in attributes) + 1
+    return rows.withColumns(
+        {
+            f"order{i}": F.coalesce(_raw(c), c) if _raw(c) in rows.columns else F.col(c)
+            for i, c in enumerate(FLAT_ORDER[:needed])
+        }
+    )
 
 
 # Table -> natural key and surrogate key.
@@ -85,13 +106,42 @@ class Members:
 
 
 def dimension(rows: DataFrame, table: str) -> Members:
-    """Distinct members of prepared rows, numbered 1..n in the order of their natural key."""
+    """Distinct members of prepared rows, numbered 1..n in the order of their natural key.
+
+    A member keeps the attributes of its first row in flat order. Members with one spelling, found
+    by counting, need no order; only the rows of the others are compared.
+    """
     natural, key = DIMENSIONS[table]
     attributes = [c for c in STAR_COLUMNS[table] if c not in (natural, key)]
-    order = [f"raw_{c}" if f"raw_{c}" in rows.columns else c for c in FLAT_ORDER]
-    members = first_per_key(rows, [natural], order, attributes, count=ROWS)
+    spellings = rows.groupBy(natural, *attributes).agg(F.count(F.lit(1)).alias(ROWS))
+    members = spellings.groupBy(natural).agg(
+        F.count(F.lit(1)).alias("__spellings"),
+        F.min(F.struct(*attributes)).alias("__only"),
+        F.sum(ROWS).alias(ROWS),
+    )
     numbered, size = dense_id(members, [natural], key)
-    return Members(numbered, natural, key, size)
+    several = numbered.filter("__spellings > 1").select(natural, F.col(ROWS).alias("__several"))
+    ambiguous = several.count()
+    only = {c: F.col(f"__only.{c}") for c in attributes}
+    if ambiguous:
+        compared = lookup(
+            rows,
+            several.withColumn("__weight", F.col("__several")),
+            [natural],
+            weight="__weight",
+            right_rows=ambiguous,
+        ).filter(F.col("__several").isNotNull())
+        ordered = _in_flat_order(compared, attributes)
+        order = [c for c in ordered.columns if c.startswith("order")]
+        # Equal rows are dropped by hashing before the sort-based comparison.
+        distinct = ordered.select(natural, *attributes, *order).distinct()
+        firsts = first_per_key(distinct, [natural], order, attributes).select(
+            natural, F.struct(*attributes).alias("__first")
+        )
+        numbered = lookup(numbered, firsts, [natural], right_rows=ambiguous)
+        only = {c: F.coalesce("__first", "__only")[c] for c in attributes}
+    frame = numbered.select(key, natural, *[v.alias(c) for c, v in only.items()], ROWS)
+    return Members(frame, natural, key, size)
 
 
 def resolve(
