@@ -5,18 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from scrutin.functions.text import (
-    as_column,
-    blank_to_null,
-    is_missing,
-    made_of,
-    stripped,
-    stripped_upper,
-)
-
-DIGITS = "0123456789"
-
-# Fixed values.
+from scrutin.functions.text import as_column, is_missing, stripped, stripped_upper
+
+DIGITS = r"\A[0-9]+\z"
+
+# Fixed values. The overseas pattern trims and ignores case by itself, so that a filter on a raw field
+# reads the field once.
+OVERSEAS = r"(?iU)\A[\s\x1c-\x1f]*(z[^\s\x1c-\x1f]|9[0-9][0-9])[\s\x1c-\x1f]*\z"
 UNCLASSIFIED = "NC"
 UNKNOWN = "UNKNOWN"
 
@@ -31,7 +26,7 @@ def _zero_filled(text: Column, width: int) -> Column:
 
 
 def padded_of(text: Column, width: int) -> Column:
-    filled = F.when(made_of(text, DIGITS), _zero_filled(text, width)).otherwise(text)
+    filled = F.when(text.rlike(DIGITS), _zero_filled(text, width)).otherwise(text)
     return F.when(~is_missing(text), filled)
 
 
@@ -41,7 +36,7 @@ def label_of(text: Column) -> Column:
 
 def commune_of(department: Column, commune: Column) -> Column:
     """``department`` is a padded code here."""
-    local = made_of(commune, DIGITS) & (F.length(commune) <= 3)
+    local = commune.rlike(DIGITS) & (F.length(commune) <= 3)
     full = F.when(local, F.concat(department, _zero_filled(commune, 3))).otherwise(commune)
     return F.when(~is_missing(commune) & department.isNotNull(), full)
 
@@ -70,37 +65,43 @@ def is_overseas(department: Column | str) -> Column:
 
     False, not null, for a null department.
     """
-    text = stripped_upper(department)
-    lettered = F.startswith(text, F.lit("Z")) & (F.length(text) == 2)
-    numbered = F.startswith(text, F.lit("9")) & (F.length(text) == 3) & made_of(text, DIGITS)
-    return F.coalesce(lettered | numbered, F.lit(False))
+    return F.coalesce(as_column(department).rlike(OVERSEAS), F.lit(False))
+
+
+def star_commune_of(text: Column) -> Column:
+    signed = F.startswith(text, F.lit("-")) | F.startswith(text, F.lit("+"))
+    moved = F.concat(F.left(text, F.lit(1)), F.lpad(F.substr(text, F.lit(2)), 4, "0"))
+    return (
+        F.when(F.length(text) >= 5, text)
+        .when(signed, moved)
+        .when(text != "", F.lpad(text, 5, "0"))
+    )
 
 
 def star_commune_code(value: Column | str) -> Column:
     """Commune code zero-filled to five characters whatever it holds; a sign stays in front."""
-    text = blank_to_null(value)
-    sign = F.substring(text, 1, 1)
-    signed = sign.isin("+", "-") & (F.length(text) < 5)
-    moved = F.concat(sign, _zero_filled(F.substring(text, 2, 5), 4))
-    return F.when(signed, moved).otherwise(_zero_filled(text, 5))
+    return star_commune_of(stripped(value))
 
 
-def election_key(year: Column | str, round_: Column | str) -> Column:
-    """``2020|T1``; a missing part reads ``UNKNOWN``."""
+def election_of(year: Column, round_: Column) -> Column:
     return F.concat(
-        F.coalesce(stripped(year), F.lit(UNKNOWN)),
-        F.lit("|T"),
-        F.coalesce(stripped(round_), F.lit(UNKNOWN)),
+        F.coalesce(year, F.lit(UNKNOWN)), F.lit("|T"), F.coalesce(round_, F.lit(UNKNOWN))
     )
 
 
+def candidate_of(label: Column, last: Column, first: Column, slate: Column) -> Column:
+    """The parts are trimmed texts here, in any case."""
+    parts = [(label, UNCLASSIFIED), (last, UNKNOWN), (first, UNKNOWN), (slate, UNKNOWN)]
+    return F.upper(F.concat_ws("|", *[F.coalesce(part, F.lit(other)) for part, other in parts]))
+
+
+def election_key(year: Column | str, round_: Column | str) -> Column:
+    """``2020|T1``; a missing part reads ``UNKNOWN``."""
+    return election_of(stripped(year), stripped(round_))
+
+
 def candidate_key(
     label: Column | str, last: Column | str, first: Column | str, slate: Column | str
 ) -> Column:
     """``LABEL|LAST|FIRST|LIST`` in upper case. An empty part stays empty, only null is replaced."""
-    parts = [F.coalesce(stripped_upper(label), F.lit(UNCLASSIFIED))]
-    parts += [
-        F.coalesce(stripped_upper(part), F.lit(UNKNOWN))
-        for part in (as_column(last), as_column(first), as_column(slate))
-    ]
-    return F.concat_ws("|", *parts)
+    return candidate_of(*[stripped(part) for part in (label, last, first, slate)])

@@ -7,24 +7,23 @@ from pyspark.sql import functions as F
 
 from scrutin.functions.text import as_column, made_of, stripped
 
-# The characters of a decimal number. Whether they form one is up to the cast; the alphabet keeps
-# the engine's own extensions out (`1d`, `Infinity`, hexadecimal).
-DECIMAL = "0123456789+-.eE"
+# The characters of a decimal number with blanks around it. Whether they form one is up to the cast;
+# the alphabet keeps the engine's own extensions out (`1d`, `Infinity`, hexadecimal).
+DECIMAL = "0123456789+-.eE \t\n\u000b\f\r"
 
 
 def _double_of(text: Column) -> Column:
-    parsed = F.when(made_of(text, DECIMAL), text.try_cast("double"))
-    return F.when(F.abs(parsed) < F.lit(float("inf")), parsed)
+    return F.when(made_of(text, DECIMAL), text.try_cast("double"))
 
 
 def lenient_double(value: Column | str) -> Column:
-    """Finite number held in a text."""
+    """Number held in a text."""
     return _double_of(stripped(value))
 
 
 def long_of(text: Column) -> Column:
     """Like :func:`lenient_long` for a text that is trimmed already."""
-    as_double = F.when(made_of(text, DECIMAL), text.try_cast("double"))
+    as_double = _double_of(text)
     integral = F.when(as_double % 1 == 0, as_double.try_cast("bigint"))
     # The first branch settles nearly every row at once.
     return F.coalesce(text.try_cast("bigint"), integral)
@@ -46,4 +45,4 @@ def localised_double(value: Column | str, extra_spaces: str = "") -> Column:
     text = as_column(value).cast("string")
     for space in " " + extra_spaces:
         text = F.replace(text, F.lit(space), F.lit(""))
-    return _double_of(stripped(F.replace(text, F.lit(","), F.lit("."))))
+    return _double_of(F.replace(text, F.lit(","), F.lit(".")))

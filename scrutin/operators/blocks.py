@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrutin.functions.text import stripped
+from scrutin.functions.text import is_filled
 
 
 def unpivot_blocks(
@@ -42,8 +43,4 @@ def unpivot_blocks(
 
 def any_filled(columns: Sequence[Column]) -> Column:
     """True when at least one of the texts is neither null nor blank."""
-    filled = [F.coalesce(stripped(c), F.lit("")) != "" for c in columns]
-    out = filled[0]
-    for f in filled[1:]:
-        out = out | f
-    return out
+    return reduce(lambda a, b: a | b, [is_filled(c) for c in columns])

@@ -43,14 +43,15 @@ def patch_cells(df: DataFrame, patches: Sequence[Patch]) -> DataFrame:
     return df.select(*out)
 
 
-def parse_longs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def parse_longs(df: DataFrame, columns: Sequence[str], trimmed: bool = False) -> DataFrame:
     """Texts of the given columns as whole numbers; columns that are no texts stay."""
     types = dict(df.dtypes)
     texts = [c for c in columns if types[c] == "string"]
     if not texts:
         return df
-    trimmed = df.withColumns({c: stripped(c) for c in texts})
-    return trimmed.withColumns({c: long_of(F.col(c)) for c in texts})
+    if not trimmed:
+        df = df.withColumns({c: stripped(c) for c in texts})
+    return df.withColumns({c: long_of(F.col(c)) for c in texts})
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

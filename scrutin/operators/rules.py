@@ -14,16 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrutin.functions.codes import is_overseas
-from scrutin.functions.text import made_of
 from scrutin.operators.lookup import count_missing
 from scrutin.schemas import REQUIRED
 
 REPORT = "rule string, table string, violations bigint"
 
-# A code is made of these characters and has so many of them.
-CODE_ALPHABET = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-DEPARTMENT_LENGTH = (2, 3)
-COMMUNE_LENGTH = (5, 5)
+# Fixed values.
+DEPARTMENT_SHAPE = r"\A[0-9A-Z]{2,3}\z"
+COMMUNE_SHAPE = r"\A[0-9A-Z]{5}\z"
 
 
 @dataclass(frozen=True)
@@ -36,9 +34,8 @@ def not_null(column: str) -> Rule:
     return Rule(f"{column} is null", F.col(column).isNull())
 
 
-def is_code(column: str, length: tuple[int, int], name: str) -> Rule:
-    shaped = F.length(column).between(*length) & made_of(F.col(column), CODE_ALPHABET)
-    return Rule(f"{column} is not a {name}", ~shaped)
+def has_shape(column: str, shape: str, name: str) -> Rule:
+    return Rule(f"{column} is not a {name}", ~F.col(column).rlike(shape))
 
 
 def not_negative(column: str) -> Rule:
@@ -61,9 +58,9 @@ def flat_rules(
     """What makes a flat result row unusable."""
     rules = [not_null(c) for c in required]
     if department:
-        rules.append(is_code(department, DEPARTMENT_LENGTH, "department code"))
+        rules.append(has_shape(department, DEPARTMENT_SHAPE, "department code"))
     if commune:
-        rules.append(is_code(commune, COMMUNE_LENGTH, "commune code"))
+        rules.append(has_shape(commune, COMMUNE_SHAPE, "commune code"))
     rules += [not_negative(c) for c in (registered, voters, valid, votes)]
     rules += [at_most(voters, registered), at_most(valid, voters), at_most(votes, valid)]
     rules.append(Rule(f"{voters} = 0", F.col(voters) == 0))

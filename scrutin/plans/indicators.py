@@ -32,7 +32,7 @@ def clean_mapping(raw: DataFrame) -> DataFrame:
     """
     require_columns(raw, MAPPING_COLUMNS, "mapping")
     needed = [c for c in MAPPING_COLUMNS if c != "data_type"]
-    year = lenient_double("available_years").cast("bigint")
+    year = lenient_double("available_years").try_cast("bigint")
     return (
         raw.dropna(subset=needed)
         .select(

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrutin.functions.codes import candidate_key, election_key, star_commune_code
+from scrutin.functions.codes import candidate_of, election_of, star_commune_of
 from scrutin.functions.text import stripped
 from scrutin.operators.keys import dense_id, first_per_key
 from scrutin.operators.lookup import HOT_ROWS, lookup
@@ -53,17 +53,26 @@ def prepare(flat: DataFrame) -> DataFrame:
     names = [f.name for f in FLAT.fields]
     require_columns(flat, names, "flat table")
     texts = [f.name for f in FLAT.fields if f.dataType.typeName() == "string"]
-    keys = {
-        "election_nk": election_key("annee_election", "tour"),
-        "candidat_nk": candidate_key(*CANDIDATE_KEY),
-    }
-    # Raw spellings only decide an order; they are kept where they differ from the cleaned text.
-    raw = {_raw(c): F.col(c) for c in FLAT_ORDER if c in texts}
-    rows = flat.select(*names).withColumns({**keys, **raw, **{t: stripped(t) for t in texts}})
+    types = dict(flat.dtypes)
+    raw = {_raw(t): F.col(t) for t in texts}
+    # Cleaned first, then combined: each text is trimmed once.
+    rows = flat.select(*names).withColumns({**raw, **{t: stripped(t) for t in texts}})
+    year, round_ = (
+        stripped(c) if types[c] == "string" else F.col(c).cast("string")
+        for c in ("annee_election", "tour")
+    )
+    rows = rows.withColumns(
+        {
+            "election_nk": election_of(year, round_),
+            "candidat_nk": candidate_of(*[F.col(c) for c in CANDIDATE_KEY]),
+            "code_commune": star_commune_of(F.col("code_commune")),
+        }
+    )
     rows = parse_longs(rows, [n for n in names if n not in texts])
-    rows = rows.withColumn("code_commune", star_commune_code("code_commune"))
-    return rows.withColumns({r: F.when(~F.col(r).eqNullSafe(F.col(c)), F.col(r)) for r, c in
-                             ((_raw(c), c) for c in FLAT_ORDER if c in texts)})
+    # Raw spellings only decide an order; they are kept where they differ from the cleaned text.
+    return rows.withColumns(
+        {_raw(t): F.when(~F.col(_raw(t)).eqNullSafe(F.col(t)), F.col(_raw(t))) for t in texts}
+    )
 
 
 def _raw(column: str) -> str:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scrutin.functions.text import stripped
+from scrutin.functions.text import is_filled, stripped
 from scrutin.operators.keys import ROW_BITS
 
 LINE = "line"
@@ -88,9 +88,11 @@ def section_marks(lines: DataFrame, markers: Sequence[str]) -> DataFrame:
     Columns ``file, mark0, head0, mark1, head1, …``; positions are structs ``(block, row)``, null
     where a marker (or a line behind it) does not exist.
     """
-    text = stripped(LINE)
+    # Few lines hold a marker at all; only those are trimmed.
     firsts = [
-        F.min(F.when(text == marker, F.col("row"))).alias(f"row{i}")
+        F.min(
+            F.when(F.contains(F.col(LINE), F.lit(marker)) & (stripped(LINE) == marker), F.col("row"))
+        ).alias(f"row{i}")
         for i, marker in enumerate(markers)
     ]
     # One row per file block: as many as the scan has tasks.
@@ -191,7 +193,7 @@ def delimited(
     """
     text = F.col(LINE)
     if comment is not None:
-        text = stripped(text)
+        lines = lines.withColumn(LINE, stripped(LINE))
         lines = lines.filter(~F.startswith(text, F.lit(comment)))
     text = _without_trailing(text, sep, drop_empty)
     cut = F.split(text, _literal_pattern(sep), -1)
@@ -225,7 +227,7 @@ def quoted(
     schema = ", ".join(f"{n} string" for n in names)
     options = {"sep": sep, "quote": quote, "escape": quote}
     return (
-        lines.filter(stripped(LINE) != "")
+        lines.filter(is_filled(LINE))
         .withColumn("__record", F.from_csv(LINE, schema, options))
         .withColumn(present, F.least(field_count(F.col(LINE), sep, quote), F.lit(columns)))
         .withColumn(fields, F.array(*[F.col(f"__record.{n}") for n in names]))
