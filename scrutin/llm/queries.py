@@ -6,12 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scrutin.llm import licenses, quality
+from scrutin.llm import licenses, packing, quality, token_counts, token_files
 from scrutin.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def token_count(spark: SparkSession, folder: str) -> DataFrame:
+    counted = token_counts.count_tokens(read(spark, folder, "documents").select("doc_id", "text"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read(spark, folder, "documents"))
+
+
+def token_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.token_files(read(spark, folder, "documents"))
+
+
 def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = licenses.scan(read(spark, folder, "documents"))
     return found.select("doc_id", "license_words", "license_id", "license_notices")
@@ -54,6 +67,9 @@ from judged
 """
 
 QUERIES: dict[str, tuple[Query, str | None]] = {
+    "op2_token_counts": (token_count, None),
+    "op4_best_fit_packing": (best_fit_packing, None),
+    "op7_token_files": (token_sequences, None),
     "op5_license_scan": (license_scan, None),
     "op10_quality_rules": (quality_rules, QUALITY_SQL),
 }
