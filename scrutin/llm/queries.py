@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scrutin.llm import licenses, packing, quality, token_counts, token_files
+from scrutin.llm import decontaminate, licenses, packing, quality, token_counts, token_files
 from scrutin.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,13 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "license_words", "license_id", "license_notices")
 
 
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.decontaminate(docs, read(spark, folder, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
+    )
+
+
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_rules(read(spark, folder, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -71,5 +78,6 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op4_best_fit_packing": (best_fit_packing, None),
     "op7_token_files": (token_sequences, None),
     "op5_license_scan": (license_scan, None),
+    "op9_benchmark_decontamination": (decontamination, None),
     "op10_quality_rules": (quality_rules, QUALITY_SQL),
 }
