@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from scrutin.llm import decontaminate, licenses, packing, quality, token_counts, token_files
+from scrutin.llm import decontaminate, licenses, packing, quality, token_counts, token_files, toxicity
 from scrutin.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def fold(folds: int) -> Column:
+    """crc32 of the id as text, modulo ``folds``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+
+
 def token_count(spark: SparkSession, folder: str) -> DataFrame:
     counted = token_counts.count_tokens(read(spark, folder, "documents").select("doc_id", "text"))
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
@@ -37,6 +43,12 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.score(read(spark, folder, "documents"), read(spark, folder, "labels"))
+    predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return scored.select("doc_id", (fold(4) == 2).alias("held_out"), "score", predicted, "threshold", "toxic")
+
+
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_rules(read(spark, folder, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -78,6 +90,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op4_best_fit_packing": (best_fit_packing, None),
     "op7_token_files": (token_sequences, None),
     "op5_license_scan": (license_scan, None),
+    "op6_toxicity": (toxicity_scores, None),
     "op9_benchmark_decontamination": (decontamination, None),
     "op10_quality_rules": (quality_rules, QUALITY_SQL),
 }
