@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrutin.llm import decontaminate, licenses, packing, quality, token_counts, token_files, toxicity
+from scrutin.llm import decontaminate, licenses, ngram_join, packing, quality, token_counts, token_files, toxicity
 from scrutin.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def fold(folds: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
 
 
+def ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.jaccard_groups(read(spark, folder, "documents"), n=4, percent=85)
+
+
 def token_count(spark: SparkSession, folder: str) -> DataFrame:
     counted = token_counts.count_tokens(read(spark, folder, "documents").select("doc_id", "text"))
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
@@ -86,6 +90,7 @@ from judged
 """
 
 QUERIES: dict[str, tuple[Query, str | None]] = {
+    "op1_ngram_jaccard_join": (ngram_jaccard, None),
     "op2_token_counts": (token_count, None),
     "op4_best_fit_packing": (best_fit_packing, None),
     "op7_token_files": (token_sequences, None),
