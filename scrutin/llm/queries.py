@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrutin.llm import decontaminate, licenses, ngram_join, packing, quality, token_counts, token_files, toxicity
+from scrutin.llm import decontaminate, licenses, ngram_join, packing, quality, suffix_dedup, token_counts, token_files, toxicity
 from scrutin.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,11 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "license_words", "license_id", "license_notices")
 
 
+def suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    left = suffix_dedup.remove_repeats(read(spark, folder, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
 def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
     return decontaminate.decontaminate(docs, read(spark, folder, "benchmark")).select(
@@ -96,6 +101,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op7_token_files": (token_sequences, None),
     "op5_license_scan": (license_scan, None),
     "op6_toxicity": (toxicity_scores, None),
+    "op8_suffix_array_dedup": (suffix_array_dedup, None),
     "op9_benchmark_decontamination": (decontamination, None),
     "op10_quality_rules": (quality_rules, QUALITY_SQL),
 }
