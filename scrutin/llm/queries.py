@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrutin.llm import decontaminate, licenses, ngram_join, packing, quality, suffix_dedup, token_counts, token_files, toxicity
+from scrutin.llm import decontaminate, licenses, lm_score, ngram_join, packing, quality, suffix_dedup, token_counts, token_files, toxicity
 from scrutin.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def token_count(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_score.score(read(spark, folder, "documents"))
+
+
 def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"))
 
@@ -97,6 +101,7 @@ from judged
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_ngram_jaccard_join": (ngram_jaccard, None),
     "op2_token_counts": (token_count, None),
+    "op3_lm_score": (language_model, None),
     "op4_best_fit_packing": (best_fit_packing, None),
     "op7_token_files": (token_sequences, None),
     "op5_license_scan": (license_scan, None),
