@@ -184,7 +184,7 @@ def fit(texts: Texts, labels: np.ndarray, o: Options, share: float) -> Model:
 
 
 def calibrate(scores: np.ndarray, labels: np.ndarray, langs: list[str], default: float) -> dict[str, float]:
-    """Per language the threshold with the best F1, in the middle of its range and within 0.1 to 0.6.
+    """Per language the threshold with the best F1, in the middle of its range and within 0.2 to 0.5.
 
     A language without labels of both classes keeps the default.
     """
@@ -200,7 +200,7 @@ def calibrate(scores: np.ndarray, labels: np.ndarray, langs: list[str], default:
         f1[:-1][s[:-1] == s[1:]] = 0
         k = int(np.argmax(f1))
         low = s[k + 1] if k + 1 < len(s) else 0.0
-        found[lang] = float(np.clip((s[k] + low) / 2, min(0.1, default), max(0.6, default)))
+        found[lang] = float(np.clip((s[k] + low) / 2, min(0.2, default), max(0.5, default)))
     return found
 
 
