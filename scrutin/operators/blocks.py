@@ -17,19 +17,19 @@ def unpivot_blocks(
     prefix: int,
     width: int,
     present: Column | None = None,
-    slots: int | None = None,
+    slots: int | Column | None = None,
     block: str = "block",
 ) -> DataFrame:
     """One row per complete block of ``width`` fields behind a prefix of ``prefix`` fields.
 
     ``fields`` is an array column, replaced in the result by the array column ``block``;
     ``present`` is the number of fields the line really has, where the array is padded;
-    ``slots`` caps the blocks at what the header announces. An incomplete last block is dropped.
+    ``slots`` caps the blocks at what the header announces (a number, or a column where headers differ). An incomplete last block is dropped.
     """
     size = present if present is not None else F.size(fields)
     blocks = F.floor((size - F.lit(prefix)) / F.lit(width)).cast("int")
     if slots is not None:
-        blocks = F.least(blocks, F.lit(slots))
+        blocks = F.least(blocks, slots if isinstance(slots, Column) else F.lit(slots))
     # No filter on the count: it would make the engine split every line a second time.
     cut = F.when(
         blocks >= 1,

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from scrutin.functions.text import is_filled, stripped
 from scrutin.operators.keys import ROW_BITS
+from scrutin.scratch import staged
 
 LINE = "line"
 POSITION = ("file", "block", "row")
@@ -39,8 +40,13 @@ def charset(encoding: str) -> str:
 def _block_reader(spark: SparkSession, block_bytes: int | None) -> SparkSession:
     """A session whose file scans hold exactly one file block per task."""
     reader = spark.newSession()
-    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.session.timeZone"):
-        reader.conf.set(key, spark.conf.get(key))
+    # Everything derived from these lines runs in the new session, so it gets the caller's settings.
+    for row in spark.sql("SET").collect():
+        if spark.conf.isModifiable(row["key"]):
+            reader.conf.set(row["key"], row["value"])
+    # A wanted number of partitions would pack several blocks into one task.
+    reader.conf.unset("spark.sql.files.maxPartitionNum")
+    reader.conf.unset("spark.sql.files.minPartitionNum")
     if block_bytes:
         reader.conf.set("spark.sql.files.maxPartitionBytes", str(block_bytes))
     # Opening a file counts as much as a full block, so two blocks never share a task and the
@@ -82,6 +88,12 @@ def without_header(lines: DataFrame) -> DataFrame:
     return lines.filter(~((F.col("block") == 0) & (F.col("row") == 0)))
 
 
+def header_counts(lines: DataFrame, sep: str = ";", quote: str = '"') -> DataFrame:
+    """``(file, columns)``: how many fields the first line of each file has."""
+    first = lines.filter((F.col("block") == 0) & (F.col("row") == 0))
+    return staged(first.select("file", field_count(F.col(LINE), sep, quote).alias("columns")), "headers")
+
+
 def section_marks(lines: DataFrame, markers: Sequence[str]) -> DataFrame:
     """Per file, the positions of the first line of each marker and of the line behind it.
 
@@ -206,8 +218,21 @@ def delimited(
 
 
 def field_count(record: Column, sep: str, quote: str = '"') -> Column:
-    """Number of fields of a quoted record: separators outside quotes, plus one."""
-    return _count_fields(F.regexp_replace(record, f"{quote}[^{quote}]*{quote}", ""), sep)
+    """Number of fields of a quoted record: separators outside quotes, plus one.
+
+    A quote opens a field at its beginning only; elsewhere it is text.
+    """
+    mark = _literal_pattern(sep)
+    opened = f"(^|{mark}){quote}(?:[^{quote}]|{quote}{quote})*+{quote}"
+    return _count_fields(F.regexp_replace(record, opened, "$1"), sep)
+
+
+def is_cut(line: Column, sep: str, quote: str = '"') -> Column:
+    """True when a quoted field is still open at the end of the line."""
+    mark = _literal_pattern(sep)
+    closed = f"(^|{mark}){quote}(?:[^{quote}]|{quote}{quote})*+{quote}"
+    left = F.regexp_replace(line, closed, "$1")
+    return F.contains(line, F.lit(quote)) & left.rlike(f"(^|{mark}){quote}")
 
 
 def quoted(
@@ -221,13 +246,21 @@ def quoted(
     """Lines of quoted fields as an array of ``columns`` texts.
 
     Short lines are padded with nulls and long ones cut; ``present`` is the number of fields the
-    line really has.
+    line really has. A line that ends inside quotes is refused, because its record goes on in the
+    next line: such files need ``read_quoted_multiline``.
     """
     names = [f"c{i}" for i in range(columns)]
     schema = ", ".join(f"{n} string" for n in names)
     options = {"sep": sep, "quote": quote, "escape": quote}
     return (
         lines.filter(is_filled(LINE))
+        .withColumn(
+            LINE,
+            F.when(
+                is_cut(F.col(LINE), sep, quote),
+                F.raise_error(F.concat(F.lit("line break inside quotes, read with multi_line: "), F.col(LINE))),
+            ).otherwise(F.col(LINE)),
+        )
         .withColumn("__record", F.from_csv(LINE, schema, options))
         .withColumn(present, F.least(field_count(F.col(LINE), sep, quote), F.lit(columns)))
         .withColumn(fields, F.array(*[F.col(f"__record.{n}") for n in names]))

@@ -219,3 +219,70 @@ def test_year_selection():
     for bad in ("", "x", "1999", ","):
         with pytest.raises(ValueError):
             selected_years(bad)
+
+
+def ballots_of(spark, folder, texts, **options):
+    """Candidates of files in one folder per round."""
+    import os
+
+    paths = []
+    for number in (1, 2):
+        path = f"{folder}/round{number}"
+        os.mkdir(path)
+        for name, text in (texts if number == 1 else {"empty.csv": ";".join(["h"] * 32) + "\n"}).items():
+            save(path, name, text, "utf-8")
+        paths.append(path)
+    return E.ballots_2026(spark, paths, **options)
+
+
+def file_2026(slots, *lines):
+    return "\n".join([";".join(["h"] * (19 + slots * 13)), *lines]) + "\n"
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_2026_stray_quotes_and_headers_of_their_own(spark, folder, multi_line):
+    one, two, three = (block_2026(n, "X", "A", "L", 5) for n in ('D"A', 'B"X', "C"))
+    texts = {
+        "a.csv": file_2026(1, line_2026("1004", "Amb", [one, two])),
+        "b.csv": file_2026(2, line_2026("1005", "Amb", [one, two, three])),
+    }
+    got = ballots_of(spark, folder, texts, multi_line=multi_line).select("code_commune", "nom")
+    assert rows(got) == [("01004", 'D"A'), ("01005", 'B"X'), ("01005", 'D"A')]
+
+
+def test_2026_cut_records_are_read_or_refused(spark, folder):
+    texts = {"a.csv": file_2026(1, line_2026("1004", '"Amb\n00100;x"', [block_2026("DUPONT", "X", "A", "L", 5)]))}
+    with pytest.raises(Exception, match="multi_line"):
+        ballots_of(spark, folder, texts).collect()
+    names = E.source_of(2026).files
+    for name in names:
+        save(folder, name, texts["a.csv"], "utf-8")
+    built = E.build_flat(spark, folder, "2026", multi_line=True)
+    assert rows(built.table.select("tour", "code_commune", "libelle_commune")) == [
+        (1, "01004", "Amb\n00100;x"), (2, "01004", "Amb\n00100;x")
+    ]
+
+
+def test_fields_are_counted_as_they_are_parsed(spark):
+    lines = ['1;a"b;c"d;x', '"a;b";c', '"a""b;c";d;"e', 'x;"";y', '"a"b;c', "a"]
+    frame = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = frame.select(L.field_count(frame.line, ";").alias("n"), L.is_cut(frame.line, ";").alias("cut")).collect()
+    assert [r.n for r in got] == [4, 2, 3, 3, 2, 1]
+    assert [r.cut for r in got] == [False, False, True, False, False, False]
+
+
+def test_lines_keep_the_settings_of_the_caller(spark, folder):
+    path = save(folder, "f.txt", "\n".join(f"line {i}" for i in range(200)))
+    settings = {"spark.sql.shuffle.partitions": "17", "spark.sql.files.maxPartitionNum": "1"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        lines = L.read_lines(spark, path, "latin-1", 64)
+        assert lines.sparkSession.conf.get("spark.sql.shuffle.partitions") == "17"
+        assert lines.sparkSession.conf.get("spark.checkpoint.dir") == spark.conf.get("spark.checkpoint.dir")
+        heads = lines.filter("row = 0").select("block").distinct().count()
+        assert heads == lines.select("block").distinct().count() > 10
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
