@@ -10,22 +10,18 @@ from pyspark.sql import functions as F
 from scrutin.operators.lookup import HOT_ROWS, lookup
 
 MASK_PERIODS = 63  # periods that fit into the bits of a bigint
-MAX_PERIODS = 10_000  # periods are metadata; more than this is a wrong column
 
 
-def distinct_periods(df: DataFrame, period: str) -> list:
-    """The distinct non-null periods in ascending order."""
-    found = df.select(period).filter(F.col(period).isNotNull()).distinct().limit(MAX_PERIODS + 1)
-    values = [row[0] for row in found.collect()]
-    if len(values) > MAX_PERIODS:
-        raise ValueError(f"{period} has more than {MAX_PERIODS} distinct values")
-    return sorted(values)
+def distinct_periods(df: DataFrame, period: str) -> DataFrame:
+    """The distinct non-null periods."""
+    return df.select(period).filter(F.col(period).isNotNull()).distinct()
 
 
-def period_counts(df: DataFrame, key: str, period: str, periods: Sequence) -> DataFrame:
-    """Per non-null key: in how many of ``periods`` it occurs, and its number of rows."""
-    scoped = df.filter(F.col(key).isNotNull() & F.col(period).isin(*periods))
-    if len(periods) <= MASK_PERIODS:
+def period_counts(df: DataFrame, key: str, period: str, periods: Sequence | None) -> DataFrame:
+    """Per non-null key: in how many of ``periods`` (None: of all) it occurs, and its number of rows."""
+    wanted = F.col(period).isNotNull() if periods is None else F.col(period).isin(*periods)
+    scoped = df.filter(F.col(key).isNotNull() & wanted)
+    if periods is not None and len(periods) <= MASK_PERIODS:
         # One bit per period: a single shuffle with one row per key and task.
         bit = F.lit(None).cast("bigint")
         for position, value in enumerate(periods):
@@ -53,19 +49,25 @@ def present_in_all(
     Without ``periods`` all non-null periods of the data count; if there are none, the frame is
     returned as it is. A selected period without any row empties the result.
     """
-    scope = list(dict.fromkeys(periods if periods is not None else distinct_periods(df, period)))
-    if not scope:
+    scope = None if periods is None else list(dict.fromkeys(periods))
+    size = distinct_periods(df, period).count() if scope is None else len(scope)
+    if not size:
         return df
+    if scope is None and size <= MASK_PERIODS:
+        scope = [row[0] for row in distinct_periods(df, period).collect()]  # at most MASK_PERIODS values
     counts = period_counts(df, key, period, scope).withColumnRenamed("periods", "__periods")
-    scoped = df.filter(F.col(key).isNotNull() & F.col(period).isin(*scope))
+    wanted = F.col(period).isNotNull() if scope is None else F.col(period).isin(*scope)
+    scoped = df.filter(F.col(key).isNotNull() & wanted)
     return (
         lookup(scoped, counts, [key], weight="rows", null_safe=False, hot_rows=hot_rows)
-        .filter(F.col("__periods") == len(scope))
+        .filter(F.col("__periods") == size)
         .drop("__periods")
     )
 
 
 def empty_periods(df: DataFrame, period: str, periods: Sequence) -> list:
     """Selected periods without any row: each of them empties :func:`present_in_all`."""
-    found = set(distinct_periods(df, period))
+    asked = list(dict.fromkeys(periods))
+    # No more rows than periods are asked for.
+    found = {row[0] for row in distinct_periods(df.filter(F.col(period).isin(*asked)), period).collect()} if asked else set()
     return [p for p in periods if p not in found]

@@ -21,9 +21,6 @@ from scrutin.sources.tables import header_names, read_keys, read_table
 # Fixed value: the data type whose metrics are parsed as numbers.
 NUMERIC = "NUM"
 
-# A mapping describes columns; it does not grow with the rows of the data.
-MAX_MAPPING_ROWS = 1_000_000
-
 
 def clean_mapping(raw: DataFrame) -> DataFrame:
     """Mapping rows with every needed value, trimmed, and a whole-number ``year``.
@@ -48,10 +45,11 @@ def clean_mapping(raw: DataFrame) -> DataFrame:
 
 
 def collect_mapping(mapping: DataFrame) -> list[MappedColumn]:
-    """A cleaned mapping as driver metadata, in file order when it carries a position."""
-    rows = mapping.limit(MAX_MAPPING_ROWS + 1).collect()
-    if len(rows) > MAX_MAPPING_ROWS:
-        raise ValueError("mapping is too large to be metadata")
+    """A cleaned mapping as driver metadata, in file order when it carries a position.
+
+    A mapping describes columns, which a plan has to name; it does not grow with the rows of the data.
+    """
+    rows = mapping.collect()
     if "position" in mapping.columns:
         rows = sorted(rows, key=lambda r: r["position"])
     return [
