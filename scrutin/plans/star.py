@@ -105,10 +105,12 @@ DIMENSIONS = {
 class Members:
     """A numbered dimension, its natural and surrogate key, and its size.
 
-    The column ``__rows`` counts the source rows of each member.
+    ``keys`` holds the two keys and ``__rows``, the source rows of each member. It is apart from the
+    attributes, so that resolving references does not compute these.
     """
 
     frame: DataFrame
+    keys: DataFrame
     natural: str
     key: str
     size: int
@@ -129,6 +131,7 @@ def dimension(rows: DataFrame, table: str) -> Members:
         F.sum(ROWS).alias(ROWS),
     )
     numbered, size = dense_id(members, [natural], key)
+    keys = numbered.select(natural, key, ROWS)
     several = numbered.filter("__spellings > 1").select(natural, F.col(ROWS).alias("__several"))
     ambiguous = several.count()
     only = {c: F.col(f"__only.{c}") for c in attributes}
@@ -149,8 +152,8 @@ def dimension(rows: DataFrame, table: str) -> Members:
         )
         numbered = lookup(numbered, firsts, [natural], right_rows=ambiguous)
         only = {c: F.coalesce("__first", "__only")[c] for c in attributes}
-    frame = numbered.select(key, natural, *[v.alias(c) for c, v in only.items()], ROWS)
-    return Members(frame, natural, key, size)
+    frame = numbered.select(key, natural, *[v.alias(c) for c, v in only.items()])
+    return Members(frame, keys, natural, key, size)
 
 
 def resolve(
@@ -159,7 +162,7 @@ def resolve(
     """Add the surrogate key of a dimension; with an unknown member, unresolved rows get 0."""
     out = lookup(
         fact,
-        members.frame.select(members.natural, members.key, ROWS),
+        members.keys,
         [members.natural],
         weight=ROWS,
         right_rows=members.size,
