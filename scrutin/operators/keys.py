@@ -88,10 +88,11 @@ def dense_id(
 
 
 def stable_order(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Sort by ``keys``, rows with equal keys staying in input order.
+    """Sort by ``keys``; rows with equal keys stay in the order in which this scan delivers them.
 
-    The input position is part of the range key, so a key with very many rows is still spread
-    over several tasks.
+    That is the order of a file only as long as its rows have not been written to a stage or shuffled
+    before. The position is part of the range key, so a key with very many rows is still spread over
+    several tasks.
     """
     return (
         df.withColumn("__position", F.monotonically_increasing_id())

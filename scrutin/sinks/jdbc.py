@@ -12,12 +12,20 @@ from scrutin.schemas import STAR_COLUMNS
 NUANCE_TABLE = "dim_nuance_politique"
 SCHEMA = "public"
 
+# Connections a database is asked for unless the caller says otherwise.
+CONNECTIONS = 16
+
 
 def write_jdbc(
-    df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None
+    df: DataFrame,
+    url: str,
+    table: str,
+    properties: Mapping[str, str] | None = None,
+    connections: int = CONNECTIONS,
 ) -> None:
-    """Replace one table. Every task writes its own rows in batches."""
-    df.write.mode("overwrite").jdbc(url, table, properties=dict(properties or {}))
+    """Replace one table. At most ``connections`` tasks write at once, each its rows in batches."""
+    options = {"numPartitions": str(connections), **dict(properties or {})}
+    df.write.mode("overwrite").jdbc(url, table, properties=options)
 
 
 def write_star(
