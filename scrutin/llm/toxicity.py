@@ -27,8 +27,8 @@ class Options(NamedTuple):
     """Bounds of the training sample, and the shape and training of the model."""
 
     #: Labelled texts per class that are learned from, those with the smallest hashes of their ids.
-    positives: int = 4000
-    negatives: int = 8000
+    positives: int = 2000
+    negatives: int = 5000
     #: Texts longer than this are scored like all others but not learned from.
     train_bytes: int = 200_000
     bits: int = 17
@@ -101,22 +101,22 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 def take(texts: Texts, rows: np.ndarray) -> Texts:
     sizes = np.diff(texts.bounds)[rows]
     bounds = np.concatenate([[0], np.cumsum(sizes)])
-    at = np.arange(bounds[-1]) - np.repeat(bounds[:-1] - texts.bounds[:-1][rows], sizes)
+    at = np.arange(bounds[-1], dtype=np.int32)
+    at -= np.repeat((bounds[:-1] - texts.bounds[:-1][rows]).astype(np.int32), sizes)
     return Texts(texts.words[:, at], bounds)
 
 
 def log_odds(texts: Texts, labels: np.ndarray, o: Options) -> np.ndarray:
     """Smoothed log-odds of the class by bucket, by how many texts of either class hold the bucket."""
     n, share = 1 << o.bits, labels.mean()
-    row = np.repeat(np.arange(len(labels)), np.diff(texts.bounds))
-    out = np.zeros((2, n), dtype=np.float32)
-    for k in range(2):
-        pairs = np.unique(row.astype(np.int64) << o.bits | texts.words[k])
-        bucket, toxic = pairs & (n - 1), labels[pairs >> o.bits]
-        ones = np.bincount(bucket, weights=toxic, minlength=n)
-        rate = (ones + o.prior * share) / (np.bincount(bucket, minlength=n) + o.prior)
-        out[k] = np.log(rate / (1 - rate)) - np.log(share / (1 - share))
-    return out
+    ones, both = np.zeros((2, n)), np.zeros((2, n))
+    for i, label in enumerate(labels):
+        for k in range(2):
+            held = np.unique(texts.words[k, texts.bounds[i] : texts.bounds[i + 1]])
+            both[k, held] += 1
+            ones[k, held] += label
+    rate = (ones + o.prior * share) / (both + o.prior)
+    return (np.log(rate / (1 - rate)) - np.log(share / (1 - share))).astype(np.float32)
 
 
 def fit(texts: Texts, labels: np.ndarray, o: Options, share: float) -> Model:
@@ -224,14 +224,28 @@ def train(docs: DataFrame, labels: DataFrame, o: Options, text: str, lang: str |
     spoken = F.col(lang).cast("string") if lang else F.lit(None).cast("string")
     rows = docs.select(F.col("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"), spoken.alias("__lang"))
     found, share = sample(rows, labels, o)
-    got = found.select("__text", "__lang", "__toxic").dropDuplicates(["__text"]).toArrow()
-    got = got.sort_by([("__text", "ascending")])
-    pieces = [texts_of(p, o.bits) for p in T.slices(got["__text"])]
-    sizes = np.concatenate([[0], *[np.diff(p.bounds) for p in pieces]])
-    words = np.concatenate([p.words for p in pieces], axis=1) if pieces else np.zeros((2, 0), np.int32)
-    texts = Texts(words, np.cumsum(sizes))
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = []
+            for piece in T.slices(batch.column(0)):
+                t = texts_of(piece, o.bits)
+                cells += [t.words[:, a:b].tobytes() for a, b in zip(t.bounds[:-1], t.bounds[1:], strict=True)]
+            yield batch.drop_columns(["__text"]).append_column("words", pa.array(cells, pa.binary()))
+
+    shape = "__lang string, __toxic int, __hash bigint, words binary"
+    got = found.select("__text", "__lang", "__toxic", F.xxhash64("__text").alias("__hash")).mapInArrow(named, shape)
+    # Two numbers of four bytes for each word of the sample. Copies of a text are learned from once.
+    got = got.dropDuplicates(["__hash"]).toArrow().sort_by([("__hash", "ascending")])
     y = got["__toxic"].to_numpy().astype(np.float32)
     langs = [x or "" for x in got["__lang"].to_pylist()]
+    sizes = [len(c) // 8 for c in got["words"].to_pylist()]
+    bounds = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    words = np.zeros((2, bounds[-1]), dtype=np.int32)
+    for i, cell in enumerate(got["words"]):
+        words[:, bounds[i] : bounds[i + 1]] = np.frombuffer(cell.as_buffer() or b"", np.int32).reshape(2, -1)
+    texts = Texts(words, bounds)
+    del got
     # Thresholds come from texts that the model of their own calibration has not seen.
     unseen = np.arange(len(y)) % 4 == 0
     first = fit(take(texts, np.flatnonzero(~unseen)), y[~unseen], o, share)
