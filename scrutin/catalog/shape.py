@@ -14,7 +14,7 @@ from scrutin.operators.periods import present_in_all
 from scrutin.operators.project import Patch, conform, fields_at, patch_cells, stack, with_unknown_member
 from scrutin.operators.reshape import MappedColumn
 from scrutin.operators.rollup import rollup_units, spread_max
-from scrutin.plans.indicators import clean_mapping, reshape_table
+from scrutin.plans.indicators import clean_mapping, removed_counts, reshape_table
 from scrutin.sources.lines import delimited
 
 # --- rollups -----------------------------------------------------------------------------------
@@ -327,10 +327,14 @@ select "CODGEO", 2016, case when l_linestatus = 'O' then null else q * 100 end,
 """
 
 
-def wide_state(spark: SparkSession, folder: str) -> DataFrame:
-    allowed = table(spark, folder, "lineitem").filter("l_quantity > 25").select(
+def _allowed_keys(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "lineitem").filter("l_quantity > 25").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("CODGEO")
     )
+
+
+def wide_state(spark: SparkSession, folder: str) -> DataFrame:
+    allowed = _allowed_keys(spark, folder)
     return reshape_table(_wide(spark, folder), _WIDE_MAPPING, allowed=allowed).tables["demo_state"]
 
 
@@ -345,9 +349,9 @@ select "CODGEO", 2016, l_linestatus from a
 """
 
 
-def mapping_clean(spark: SparkSession, folder: str) -> DataFrame:
+def _raw_mapping(spark: SparkSession, folder: str) -> DataFrame:
     size = F.col("p_size").cast("string")
-    raw = table(spark, folder, "part").select(
+    return table(spark, folder, "part").select(
         F.concat(F.lit(" P"), F.col("p_partkey").cast("string")).alias("source_code"),
         F.concat(F.lower("p_type"), F.lit("/x ")).alias("target_table"),
         F.nullif(F.col("p_name"), F.lit("red widget")).alias("canonical_metric"),
@@ -358,7 +362,10 @@ def mapping_clean(spark: SparkSession, folder: str) -> DataFrame:
         .alias("available_years"),
         F.col("p_brand").alias("ignored"),
     )
-    return clean_mapping(raw)
+
+
+def mapping_clean(spark: SparkSession, folder: str) -> DataFrame:
+    return clean_mapping(_raw_mapping(spark, folder))
 
 
 MAPPING_CLEAN_SQL = """
@@ -370,6 +377,19 @@ select 'P' || cast(p_partkey as varchar) as source_code, lower(p_type) || '/x' a
 from part where p_name <> 'red widget' and p_type <> 'ECONOMY'
 """
 
+
+def removed(spark: SparkSession, folder: str) -> DataFrame:
+    return removed_counts(_raw_mapping(spark, folder), _wide(spark, folder), _allowed_keys(spark, folder))
+
+
+REMOVED_SQL = """
+with w as (select l_orderkey || '-' || l_linenumber as key, l_quantity from lineitem)
+select 'mapping' as step, count(*) as rows_in,
+       count(*) filter (where p_name = 'red widget' or p_type = 'ECONOMY') as removed from part
+union all
+select 'keys', count(*), count(*) filter (where key not in (select key from w where l_quantity > 25)) from w
+"""
+
 QUERIES = {
     "q_rollup_units": (rollup, _rollup_sql(FLAT_SQL)),
     "q_rollup_no_unit": (rollup_no_unit, ROLLUP_NO_UNIT_SQL),
@@ -388,4 +408,5 @@ QUERIES = {
     "q_wide_to_long": (wide_volume, WIDE_VOLUME_SQL),
     "q_wide_to_long_filtered": (wide_state, WIDE_STATE_SQL),
     "q_mapping_clean": (mapping_clean, MAPPING_CLEAN_SQL),
+    "q_removed_counts": (removed, REMOVED_SQL),
 }

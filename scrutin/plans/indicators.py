@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from scrutin.functions.numbers import lenient_double
 from scrutin.functions.text import stripped, stripped_upper
 from scrutin.operators.keys import stable_order
-from scrutin.operators.lookup import semi
+from scrutin.operators.lookup import count_missing, semi
 from scrutin.operators.reshape import MappedColumn, by_table, file_safe, wide_to_long
 from scrutin.operators.rules import require_columns
 from scrutin.schemas import GEO_CODE, MAPPING_COLUMNS, META_CODE, PERIOD
@@ -156,6 +156,20 @@ def reshape_files(
     return Reshape(built.tables, built.missing_in_raw, unknown)
 
 
+def removed_counts(raw_mapping: DataFrame, rows: DataFrame, allowed: DataFrame, key: str = GEO_CODE) -> DataFrame:
+    """``(step, rows_in, removed)``: what cleaning the mapping and restricting the keys leave out.
+
+    Keys are counted before they are compared, so a frequent key travels once per task.
+    """
+    cleaned = clean_mapping(raw_mapping).agg(F.count(F.lit(1)).alias("left"))
+    mapping = raw_mapping.agg(F.count(F.lit(1)).alias("rows_in")).join(cleaned, how="cross")
+    mapping = mapping.select(F.lit("mapping").alias("step"), "rows_in", (F.col("rows_in") - F.col("left")).alias("removed"))
+    total = rows.agg(F.count(F.lit(1)).alias("rows_in"))
+    missing = count_missing(rows, allowed.select(key).distinct(), key).withColumnRenamed("violations", "removed")
+    keys = total.join(missing, how="cross").select(F.lit("keys").alias("step"), "rows_in", "removed")
+    return mapping.unionByName(keys)
+
+
 def missing_codes(
     spark: SparkSession, codes: list[str], dictionary: DataFrame, column: str
 ) -> list[str]:
