@@ -32,6 +32,10 @@ from scrutin.llm.tables import components, kept, partitions
 
 #: N-grams of a fragment in the first pass, about. More than that only slows a task down.
 FRAGMENT_ITEMS = 2_000_000
+#: N-grams of a fragment when those that remain are counted.
+LEFT_ITEMS = 500_000
+#: Ids of at most so many remaining texts are broadcast (16 bytes each); more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 #: Fragments of the sets that are verified.
 SEGMENTS = 4
 #: Nodes of a candidate list that are compared in one block.
@@ -269,6 +273,8 @@ def _sets(rows: DataFrame, able: DataFrame, n: int) -> DataFrame:
                     [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["node", "n", "seg", "items", "sketch"]
                 )
 
+    if able.count() <= BROADCAST_IDS:
+        able = F.broadcast(able)
     wanted = rows.join(able, "doc_id").select("text", "node")
     found = wanted.mapInArrow(cut, "node bigint, n bigint, seg int, items array<bigint>, sketch binary")
     return kept(found.dropDuplicates(["node", "seg"]), "ngram-sets")
@@ -276,7 +282,8 @@ def _sets(rows: DataFrame, able: DataFrame, n: int) -> DataFrame:
 
 def _lists(sets: DataFrame, percent: int) -> DataFrame:
     """Prefixes in the order (frequency, name): ``item``, ``node``, ``n`` and ``alone``, the node's items that no other has."""
-    fragments = partitions(sets.sparkSession)
+    total = sets.filter("seg = 0").agg(F.sum("n")).first()[0] or 0
+    fragments = total // LEFT_ITEMS + 1
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
