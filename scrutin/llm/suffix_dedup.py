@@ -9,8 +9,9 @@ Strings that can be equal are brought together first, then compared by suffix ar
    into shards of a bounded size. A name with very many distinct segments is split over several shards.
 3. A shard sorts its suffixes by Larsson-Sadakane refinement (only groups that are not sorted yet are sorted
    again, by ranks at doubled distance) and takes common prefixes by Kasai's rule, in lanes. Neighbours with
-   ``size`` bytes in common are repeats. Strings of a split name are looked up in the suffix arrays of the
-   other shards by binary search, which merges them.
+   ``size`` bytes in common are repeats. The shards of a split name are merged by sorted runs of their
+   strings' hashes: a range of hashes sees all runs, and each shard's run is looked up by binary search among
+   the strings that several shards have. So a name costs in proportion to its segments, however many.
 4. The spans go back to all places with the same segment.
 
 Equal segments of one task are combined before they are shuffled, and equal texts are one text, all of which
@@ -35,11 +36,11 @@ GRAM = 32
 #: Strings of one name in a row that make up a segment at most.
 RUN = 8192
 #: Bytes of a shard, and distinct segments of one name in one shard.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 NAME_SEGMENTS = 4096
 SEEN_TEXTS = 1_000_000
 LANE = 64
-_FRAGMENT_BYTES = 48 << 20
+_FRAGMENT_BYTES = 24 << 20
 
 
 class Segments(NamedTuple):
@@ -111,7 +112,7 @@ class Shard:
         self.start = np.cumsum(lengths + 1) - lengths - 1
         self.data = np.frombuffer(b"\0".join(texts) + b"\0" * 17, np.uint8)
         self.n = int((lengths + 1).sum())
-        self.owner = np.repeat(np.arange(len(texts)), lengths + 1)
+        self.owner = np.repeat(np.arange(len(texts), dtype=np.int32), lengths + 1)
         #: Bytes from each place to the end of its segment.
         self.left = (self.start + lengths)[self.owner] - np.arange(self.n)
         self.words = np.lib.stride_tricks.sliding_window_view(self.data, 8)[: self.n + 8].copy().view(np.uint64).reshape(-1)
@@ -159,15 +160,14 @@ class Shard:
         rank[order[slots]] = np.repeat(slots[heads], sizes)
         return slots[np.repeat(sizes > 1, sizes)]
 
-    def common(self, a: np.ndarray, b: np.ndarray, known: np.ndarray, other: Shard | None = None) -> np.ndarray:
-        """Bytes that the suffixes at ``a`` and ``b`` (of ``other``, if given) share, up to ``size``; ``known`` are."""
-        other = other or self
-        most = np.minimum(np.minimum(self.left[a], other.left[b]), self.size)
+    def common(self, a: np.ndarray, b: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """Bytes that the suffixes at ``a`` and ``b`` share, up to ``size``; ``known`` are."""
+        most = np.minimum(np.minimum(self.left[a], self.left[b]), self.size)
         found = np.minimum(known, most)
         live = np.flatnonzero(found < most)
         while len(live):
             at = found[live]
-            x = self.words[a[live] + at] ^ other.words[b[live] + at]
+            x = self.words[a[live] + at] ^ self.words[b[live] + at]
             low = np.bitwise_count((x & (~x + np.uint64(1))) - np.uint64(1)).astype(np.int64) >> 3
             found[live] = np.minimum(at + np.where(x == 0, 8, low), most[live])
             live = live[(x == 0) & (found[live] < most[live])]
@@ -198,24 +198,6 @@ class Shard:
         out[self.order[:-1][shared[1:]]] = True
         return out
 
-    def holds(self, visitor: Shard, at: np.ndarray) -> np.ndarray:
-        """Whether the strings at places of another shard start in this one, by binary search."""
-        low, high = np.zeros(len(at), dtype=np.int64), np.full(len(at), self.n)
-        zero = np.zeros(len(at), dtype=np.int64)
-        while (low < high).any():
-            mid = np.minimum((low + high) >> 1, self.n - 1)
-            here = self.order[mid]
-            same = self.common(here, at, zero, visitor)
-            # A suffix that ends first is the smaller one.
-            ended = same >= self.left[here]
-            less = (same < self.size) & (ended | (self.data[here + same] < visitor.data[at + same]))
-            go = low < high
-            low, high = np.where(go & less, mid + 1, low), np.where(go & ~less, mid, high)
-        inside = low < self.n
-        found = np.zeros(len(at), dtype=bool)
-        found[inside] = self.common(self.order[low[inside]], at[inside], zero[inside], visitor) >= self.size
-        return found
-
     def starts(self) -> np.ndarray:
         return np.flatnonzero(self.left >= self.size)
 
@@ -315,36 +297,81 @@ def _repeated_names(fragments: int):
     return run
 
 
+_KIND = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
+
+
+def _found_spans(table: pa.Table, shard: Shard, repeated: np.ndarray) -> pa.Table:
+    """Spans of the repeated strings of a shard's segments, as far as there are any."""
+    spans = _spans(shard, repeated, table["weight"].to_numpy() > 1)
+    some = pa.array([k for k, x in enumerate(spans) if x], pa.int64())
+    cells = [[{"s": a, "e": b} for a, b in x] for x in spans if x]
+    return pa.table({"name": table["name"].take(some), "digest": table["digest"].take(some), "spans": pa.array(cells, _KIND)})
+
+
 def _compare(size: int):
-    """Spans of the repeated strings of a shard's segments."""
+    def run(table: pa.Table) -> pa.Table:
+        shard = Shard(table["bytes"].to_pylist(), size)
+        return _found_spans(table, shard, shard.repeated())
+
+    return run
+
+
+def string_hashes(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all strings of some segments, and their places in a shard of these segments."""
+    lengths = np.array([len(t) for t in texts], dtype=np.int64)
+    counts = lengths - size + 1
+    data = np.frombuffer(b"\0".join(texts), np.uint8)
+    start = np.cumsum(lengths + 1) - lengths - 1
+    at = np.arange(counts.sum()) + np.repeat(start - (np.cumsum(counts) - counts), counts)
+    return T.span_hash(T.sums(data), at, at + size), at
+
+
+_RUNS = "range int, shard bigint, hashes binary"
+
+
+def _runs(size: int, ranges: int):
+    """A shard's distinct strings as sorted runs of hashes, one for each range."""
 
     def run(table: pa.Table) -> pa.Table:
-        home = table.filter(table["home"])
-        shard = Shard(home["bytes"].to_pylist(), size)
-        spans = _spans(shard, shard.repeated(), home["weight"].to_numpy() > 1)
-        names, digests = home["name"].to_pylist(), home["digest"].to_pylist()
-        away = table.filter(pa.compute.invert(table["home"]))
-        if away.num_rows:
-            guest = Shard(away["bytes"].to_pylist(), size)
-            at = guest.starts()
-            found = np.zeros(guest.n, dtype=bool)
-            found[at] = shard.holds(guest, at)
-            spans += _spans(guest, found, np.zeros(away.num_rows, dtype=bool))
-            names, digests = names + away["name"].to_pylist(), digests + away["digest"].to_pylist()
-        some = [k for k, x in enumerate(spans) if x]
-        kind = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
-        return pa.table(
-            {
-                "name": pa.array([names[k] for k in some], pa.int64()),
-                "digest": pa.array([digests[k] for k in some], pa.int64()),
-                "spans": pa.array([[{"s": a, "e": b} for a, b in spans[k]] for k in some], kind),
-            }
-        )
+        hashes = np.unique(string_hashes(table["bytes"].to_pylist(), size)[0])
+        of = ((hashes >> T.U64(40)) * T.U64(ranges) >> T.U64(24)).astype(np.int64)
+        cuts = np.searchsorted(of, np.arange(ranges + 1))
+        some = np.flatnonzero(np.diff(cuts)).tolist()
+        cells = [hashes[cuts[r] : cuts[r + 1]].tobytes() for r in some]
+        return pa.table({"range": pa.array(some, pa.int32()), "shard": [table["shard"][0].as_py()] * len(some), "hashes": pa.array(cells, pa.binary())})
+
+    return run
+
+
+def _merge(table: pa.Table) -> pa.Table:
+    """Per shard, which hashes of its run other shards have too."""
+    runs = [np.frombuffer(x, T.U64) for x in table["hashes"].to_pylist()]
+    every, counts = np.unique(np.concatenate(runs), return_counts=True)
+    shared = every[counts > 1]
+    found = []
+    for run in runs:
+        at = np.searchsorted(run, shared)
+        at = np.minimum(at, len(run) - 1)
+        found.append(shared[run[at] == shared].tobytes())
+    return pa.table({"shard": table["shard"], "found": pa.array(found, pa.binary())})
+
+
+def _compare_split(size: int):
+    def run(key, table: pa.Table, merged: pa.Table) -> pa.Table:
+        texts = table["bytes"].to_pylist()
+        shard = Shard(texts, size)
+        repeated = shard.repeated()
+        elsewhere = np.sort(np.frombuffer(b"".join(merged["found"].to_pylist()), T.U64))
+        hashes, at = string_hashes(texts, size)
+        if len(elsewhere):
+            k = np.minimum(np.searchsorted(elsewhere, hashes), len(elsewhere) - 1)
+            repeated[at[elsewhere[k] == hashes]] = True
+        return _found_spans(table, shard, repeated)
 
     return run
 
 
-def _texts_of(models: DataFrame, rows: DataFrame) -> DataFrame:
+def _texts_of(models: DataFrame, rows: DataFrame, texts: DataFrame) -> DataFrame:
     """``models`` with the ``bytes`` of their segments."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -359,8 +386,7 @@ def _texts_of(models: DataFrame, rows: DataFrame) -> DataFrame:
                 )
 
     wanted = models.groupBy(F.col("text").alias("of")).agg(F.collect_list(F.struct("name", "digest", "weight", "start", "length")).alias("wanted"))
-    first = rows.groupBy("name").agg(F.min("id").alias("id"))
-    placed = wanted.join(first, F.col("of") == F.col("name")).select("id", "of", "wanted")
+    placed = wanted.join(texts.select("name", "id"), F.col("of") == F.col("name")).select("id", "of", "wanted")
     both = rows.join(placed, (rows["id"].eqNullSafe(placed["id"])) & (F.col("name") == F.col("of"))).select("text", "wanted")
     return both.mapInArrow(cut, "name bigint, digest bigint, weight bigint, bytes binary")
 
@@ -381,13 +407,17 @@ def repeats(rows: DataFrame, size: int) -> DataFrame:
     shards = max(partitions(spark), int(volume // SHARD_BYTES) + 1)
     crowded = models.groupBy("name").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > NAME_SEGMENTS)
     crowded = crowded.select("name", F.ceil(F.col("m") / NAME_SEGMENTS).cast("int").alias("parts"))
-    compared = _texts_of(models, rows).join(crowded, "name", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    compared = compared.withColumn("own", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))
-    compared = compared.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    shard = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("name"), F.lit(shards)).cast("bigint")).otherwise(F.xxhash64("name", "part"))
-    compared = compared.select(shard.alias("shard"), "name", "digest", "weight", "bytes", (F.col("own") == F.col("part")).alias("home"))
-    spans = compared.groupBy("shard").applyInArrow(_compare(size), f"name bigint, digest bigint, spans {_SPAN}")
-    spans = kept(spans, "suffix-spans")
+    compared = _texts_of(models, rows, counted).join(crowded, "name", "left")
+    part = F.pmod(F.xxhash64("digest"), F.col("parts"))
+    shard = F.when(F.col("parts").isNull(), F.pmod(F.xxhash64("name"), F.lit(shards)).cast("bigint")).otherwise(F.xxhash64("name", part))
+    compared = compared.select(shard.alias("shard"), "name", "digest", "weight", "bytes", F.col("parts").isNotNull().alias("split"))
+    compared = kept(compared, "suffix-segments")
+    shape = f"name bigint, digest bigint, spans {_SPAN}"
+    whole, split = compared.filter("not split"), compared.filter("split")
+    runs = split.groupBy("shard").applyInArrow(_runs(size, partitions(spark)), _RUNS)
+    merged = runs.groupBy("range").applyInArrow(_merge, "shard bigint, found binary")
+    across = split.groupBy("shard").cogroup(merged.groupBy("shard")).applyInArrow(_compare_split(size), shape)
+    spans = kept(whole.groupBy("shard").applyInArrow(_compare(size), shape).union(across), "suffix-spans")
     marked = places.join(spans, ["name", "digest"]).select(
         F.col("text").alias("name"),
         F.transform("spans", lambda x: F.struct((x["s"] + F.col("start")).alias("s"), (x["e"] + F.col("start")).alias("e"))).alias("cuts"),

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 U64 = np.uint64
 _ODD = U64(0x9E3779B97F4A7C15)
 _BASE = U64(0xD6E8FEB86659FD93)
@@ -50,7 +50,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
         inverse = U64(pow(int(_BASE), -1, 1 << 64))
         for k, base in enumerate((_BASE, inverse)):
-            grown = np.full(max(n, SLICE_BYTES * 2), base, dtype=U64)
+            grown = np.full(max(n, SLICE_BYTES + 2), base, dtype=U64)
             grown[0] = 1
             _powers[k] = np.multiply.accumulate(grown)
     return _powers[0][:n], _powers[1][:n]
