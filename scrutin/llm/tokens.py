@@ -9,18 +9,20 @@ the library whole.
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Callable
 
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-#: Parts whose ids a worker keeps; beyond that it starts anew. About 200 bytes each.
-KEPT_PARTS = 600_000
+#: Parts whose ids a worker keeps at least; parts not used among twice as many are forgotten. About 200 bytes each.
+KEPT_PARTS = 400_000
 _PUNCTUATION = frozenset(".,;:!?")
 #: White space to Python but not to the library.
-_CONTROLS = re.compile("[\x1c-\x1f]")
+_CONTROLS = "\x1c\x1d\x1e\x1f"
+#: Byte-level vocabularies write bytes that do not print as the characters from 256 on, in order.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_NAMES = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - _PRINTED))}
 _encoders: dict[str, Encoder] = {}
 
 
@@ -34,10 +36,15 @@ class _Parts(dict):
     def __init__(self, encode: Callable[[str], bytes], marks: _Parts | None = None):
         super().__init__()
         self.encode, self.marks = encode, self if marks is None else marks
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, part: str) -> bytes:
         if len(self) >= KEPT_PARTS:
+            self.older = dict(self)
             self.clear()
+        if part in self.older:
+            self[part] = found = self.older[part]
+            return found
         # A pre-token never holds both a letter or digit and the punctuation after it. (Letters beyond
         # Latin-1 may become a letter and a mark when a tokenizer normalises them.)
         if part[-1:] in _PUNCTUATION and part[-2:-1].isalnum() and part[-2] < "\u0100":
@@ -60,22 +67,32 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.drops_space = self.whole("a b") == self.whole("a") + self.whole("b")
-        self.first = _Parts(self.whole)
+        self.lowers = self.whole("A") == self.whole("a")
+        self.model = self.tokenizer.model
+        self.first = _Parts(self._letters)
         self.parts = self.first if self.drops_space else _Parts(self._spaced, self.first)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
 
+    def _letters(self, part: str, space: str = "") -> bytes:
+        """A part; letters up to Latin-1 are one pre-token, which is the model's alone."""
+        if not part.isalpha() or max(part) > "\u00ff":
+            return self.whole(space + part)
+        part = space + (part.lower() if self.lowers else part)
+        named = part.encode().decode("latin-1").translate(_BYTE_NAMES)
+        return np.array([t.id for t in self.model.tokenize(named)], dtype="<u4").tobytes()
+
     def _spaced(self, part: str) -> bytes:
         """A part that follows a space, or begins with the line feed before it."""
         if part == "\n" or not part or (part[0].isspace() and part[0] != "\n") or part[1:2].isspace():
             raise Unsure(part)
-        return self.whole(part if part[0] == "\n" else " " + part)
+        return self.first["\n"] + self._letters(part[1:]) if part[0] == "\n" else self._letters(part, " ")
 
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
-        if _CONTROLS.search(text) or any(s in text for s in self.special):
+        if any(c in text for c in _CONTROLS) or any(s in text for s in self.special):
             return self.whole(text)
         if self.drops_space:
             return b"".join(map(self.parts.__getitem__, text.split()))
