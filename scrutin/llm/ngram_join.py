@@ -33,7 +33,7 @@ from scrutin.llm.tables import components, kept, partitions
 #: N-grams of a fragment in the first pass, about. More than that only slows a task down.
 FRAGMENT_ITEMS = 2_000_000
 #: N-grams of a fragment when those that remain are counted.
-LEFT_ITEMS = 500_000
+LEFT_ITEMS = 1_000_000
 #: Ids of at most so many remaining texts are broadcast (16 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Fragments of the sets that are verified.
@@ -131,7 +131,11 @@ def _shared_items(table: pa.Table) -> pa.Table:
     """Per node, the items of the fragment that another node has, with their frequencies."""
     nodes, sizes, owner, items = _joined(table, T.U64)
     df = _frequencies(items)
-    many = df > 1
+    many = np.flatnonzero(df > 1)
+    # A node's segments of a fragment are one row.
+    nodes, first, of = np.unique(nodes, return_index=True, return_inverse=True)
+    sizes, owner = sizes[first], of[owner]
+    many = many[np.argsort(owner[many], kind="stable")]
     owner, items, df = owner[many], items[many], df[many].astype(np.int64)
     cuts = np.searchsorted(owner, np.arange(len(nodes) + 1))
     rows = np.flatnonzero(np.diff(cuts)).tolist()
