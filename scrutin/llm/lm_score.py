@@ -9,7 +9,7 @@ Counting: texts are gathered in shards of a bounded size. A shard asks for the c
 and bigrams, once each, in fragments of the key space; a fragment sums what all shards counted and answers
 with those counts that differ from the shard's own. So a frequent word costs a row per shard, and a bigram
 that occurs in one shard only costs no answer. Words are exact up to 64-bit names; bigrams are told apart by
-40 bits within a fragment of about two million, of which one in a million meets another.
+40 bits within a fragment of about half a million, of which one in two million meets another.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from scrutin.llm import text as T
 from scrutin.llm.tables import kept, partitions
 
-SHARD_BYTES = 8 << 20
-FRAGMENT_BYTES = 16 << 20
+SHARD_BYTES = 2 << 20
+FRAGMENT_BYTES = 3 << 20
 #: Fold of the training documents (crc32 of the id modulo FOLDS) that only the weights are learned from at first.
 FOLDS, SCORED_FOLD, DELETED_FOLD = 10, 0, 1
 BUCKETS = 24
@@ -65,6 +65,18 @@ _ANSWERS = "shard bigint, frag int, word_at binary, word_main binary, word_dev b
 _ZSTD = pa.Codec("zstd", compression_level=1)
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """A cell: small numbers shrink to a fraction before they are shuffled."""
+    data = x.tobytes()
+    return len(data).to_bytes(8, "little") + _ZSTD.compress(data, asbytes=True) if data else b""
+
+
+def _unpacked(cell: bytes, kind: type) -> np.ndarray:
+    if not cell:
+        return np.zeros(0, kind)
+    return np.frombuffer(_ZSTD.decompress(cell[8:], int.from_bytes(cell[:8], "little"), asbytes=True), kind)
+
+
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of about SHARD_BYTES of text each."""
     number, held, size = TaskContext.get().partitionId() << 32, [], 0
@@ -148,7 +160,8 @@ def _local(k: Keys, s: Shard, fold: np.ndarray, starts: bool) -> np.ndarray:
 def _ask(fragments: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
                 s = _shard(row)
                 w, b = _words(s, fragments), _bigrams(s, fragments)
                 main, dev = _parts(s)
@@ -159,7 +172,7 @@ def _ask(fragments: int):
                 arrays = {"words": (w, w.keys), "word_main": (w, wm), "word_dev": (w, wd)}
                 arrays |= {"low": (b, low), "high": (b, high), "main": (b, bm), "dev": (b, bd)}
                 some = np.flatnonzero((np.diff(w.cuts) > 0) | (np.diff(b.cuts) > 0)).tolist()
-                cells = {name: [x[k.cuts[f] : k.cuts[f + 1]].tobytes() for f in some] for name, (k, x) in arrays.items()}
+                cells = {name: [_packed(x[k.cuts[f] : k.cuts[f + 1]]) for f in some] for name, (k, x) in arrays.items()}
                 columns = [pa.array(some, pa.int32()), pa.array([row["shard"]] * len(some), pa.int64())]
                 columns += [pa.array(c, pa.binary()) for c in cells.values()]
                 yield pa.RecordBatch.from_arrays(columns, names=["frag", "shard", *cells])
@@ -170,7 +183,7 @@ def _ask(fragments: int):
 def _summed(keys: list[np.ndarray], main: list[bytes], dev: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[tuple[bytes, bytes, bytes]]]:
     """Sums over all shards by key, and for each shard where they differ from its own counts."""
     every = np.concatenate(keys)
-    m, d = np.frombuffer(b"".join(main), np.uint32), np.frombuffer(b"".join(dev), np.uint32)
+    m, d = (np.concatenate([_unpacked(c, np.uint32) for c in cells]) for cells in (main, dev))
     _, of = np.unique(every, return_inverse=True)
     total_main, total_dev = np.bincount(of, weights=m), np.bincount(of, weights=d)
     all_main, all_dev = total_main[of].astype(np.int64), total_dev[of].astype(np.int64)
@@ -179,17 +192,18 @@ def _summed(keys: list[np.ndarray], main: list[bytes], dev: list[bytes]) -> tupl
     for k in keys:
         here = slice(at, at + len(k))
         where = np.flatnonzero(changed[here])
-        out.append((where.astype(np.uint32).tobytes(), all_main[here][where].tobytes(), all_dev[here][where].tobytes()))
+        gaps = np.diff(where, prepend=0).astype(np.uint32)
+        out.append((_packed(gaps), _packed(all_main[here][where]), _packed(all_dev[here][where])))
         at += len(k)
     return total_main, total_dev, out
 
 
 def _answer(table: pa.Table) -> pa.Table:
     col = {c: table[c].to_pylist() for c in table.column_names}
-    words = [np.frombuffer(x, T.U64) for x in col["words"]]
+    words = [_unpacked(x, T.U64) for x in col["words"]]
     main, dev, answers = _summed(words, col["word_main"], col["word_dev"])
     bigrams = [
-        np.frombuffer(h, np.uint8).astype(T.U64) << T.U64(32) | np.frombuffer(x, np.uint32).astype(T.U64)
+        _unpacked(h, np.uint8).astype(T.U64) << T.U64(32) | _unpacked(x, np.uint32).astype(T.U64)
         for h, x in zip(col["high"], col["low"], strict=True)
     ]
     _, _, pairs = _summed(bigrams, col["main"], col["dev"])
@@ -209,8 +223,8 @@ def _counts(k: Keys, own: tuple[np.ndarray, np.ndarray], answers: pa.Table, name
     main, dev = own[0].astype(np.int64), own[1].astype(np.int64)
     at, m, d = (answers[c].to_pylist() for c in names)
     for f, places, x, y in zip(answers["frag"].to_pylist(), at, m, d, strict=True):
-        where = k.cuts[f] + np.frombuffer(places, np.uint32)
-        main[where], dev[where] = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
+        where = k.cuts[f] + np.cumsum(_unpacked(places, np.uint32), dtype=np.int64)
+        main[where], dev[where] = _unpacked(x, np.int64), _unpacked(y, np.int64)
     return main, dev
 
 
@@ -319,7 +333,7 @@ def train(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Model:
     told = answers.filter("shard >= 0").groupBy("shard").cogroup(shards.groupBy("shard"))
     seen = told.applyInArrow(_predictions(fragments, totals), "bucket bigint, p2 bigint, p1 bigint, n bigint")
     # At most buckets times bins times bins.
-    histogram = [tuple(r) for r in seen.groupBy("bucket", "p2", "p1").agg(F.sum("n")).collect()]
+    histogram = [tuple(r) for r in kept(seen.groupBy("bucket", "p2", "p1").agg(F.sum("n").alias("n")), "lm-estimates").collect()]
     return Model(totals, learn_weights(histogram, totals.types), answers, shards, fragments)
 
 
