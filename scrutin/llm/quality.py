@@ -34,12 +34,13 @@ class Rule(NamedTuple):
     high: float | None = None
 
 
-#: Measures are SQL over the columns that ``measures`` makes; texts without words have no ratios.
+#: Measures are SQL over the columns that ``measures`` makes; texts without words have no ratios, null instead,
+#: and a null passes no rule (``/`` would end the query on them).
 RULES: tuple[Rule, ...] = (
-    Rule("word_length", "word_chars / n_words", 1.5, 25.0),
-    Rule("symbols", "n_symbols / n_words", None, 0.25),
-    Rule("stop_words", "n_stop_words / n_words", 0.01, None),
-    Rule("repeated_lines", "n_dup_lines / n_lines", None, 0.7),
+    Rule("word_length", "try_divide(word_chars, n_words)", 1.5, 25.0),
+    Rule("symbols", "try_divide(n_symbols, n_words)", None, 0.25),
+    Rule("stop_words", "try_divide(n_stop_words, n_words)", 0.01, None),
+    Rule("repeated_lines", "try_divide(n_dup_lines, n_lines)", None, 0.7),
 )
 
 
