@@ -1,7 +1,12 @@
-"""Licence texts to look for. The published wording, one entry per licence."""
+"""Licence texts to look for. The published wordings, short ones here, long ones in ``license_files``."""
 
-#: Entire texts, without copyright lines.
-TEXTS: dict[str, str] = {
+from __future__ import annotations
+
+import re
+from importlib.resources import files
+
+#: Entire short texts, without copyright lines.
+SHORT: dict[str, str] = {
     "MIT": """MIT License
 
 Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
@@ -84,6 +89,76 @@ software.
 
 3. This notice may not be removed or altered from any source distribution.""",
 }
+SHORT["BSD-3-Clause"] = SHORT["BSD-2-Clause"].replace(
+    "\n\nTHIS SOFTWARE",
+    """
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission.
+
+THIS SOFTWARE""",
+)
+
+#: The publisher's addresses that printings of one GNU licence differ in.
+ADDRESS = re.compile(r"51 Franklin St(?:reet)?, Fifth Floor,\s+Boston,\s+MA\s+02110-1301,?\s+USA")
+ADDRESSES = (
+    "51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA",
+    "51 Franklin St, Fifth Floor, Boston, MA 02110-1301 USA",
+    "59 Temple Place, Suite 330, Boston, MA 02111-1307 USA",
+    "675 Mass Ave, Cambridge, MA 02139, USA",
+)
+END = "END OF TERMS AND CONDITIONS"
+
+
+def wordings(text: str) -> list[str]:
+    """The printings of one text: bullets for numbers, older words, other addresses, no appendix after the end."""
+    found = [text]
+    if text.startswith("Redistribution"):
+        found += [re.sub(r"(?m)^\d\. ", "* ", t) for t in found]
+        found += [t.replace("COPYRIGHT HOLDER OR", "COPYRIGHT OWNER OR") for t in found]
+    found += [t.replace("and/or distribute", "and distribute") for t in found]
+    found = [ADDRESS.sub(a, t) for t in found for a in ADDRESSES]
+    found += [t[: t.index(END) + len(END)] for t in found if END in t]
+    return list(dict.fromkeys(found))
+
+
+def _long() -> dict[str, str]:
+    folder = files("scrutin.llm") / "license_files"
+    return {f.name.removesuffix(".txt"): f.read_text() for f in folder.iterdir() if f.name.endswith(".txt")}
+
+
+#: Entire texts by licence, each in all its wordings.
+TEXTS: dict[str, list[str]] = {name: wordings(text) for name, text in sorted((SHORT | _long()).items())}
+
+#: Lines above a text that only name it. They are no part of its canonical form.
+TITLES: tuple[str, ...] = (
+    "License", "The License", "Copyright", "Copyright Notice", "License and Copyright",
+    "MIT", "MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "MIT License (Expat)",
+    "Expat License", "The Expat License",
+    "ISC", "ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)", "ISC License (ISCL)",
+    "0BSD", "BSD Zero Clause License", "Zero Clause BSD", "Zero Clause BSD License", "BSD Zero Clause License (0BSD)",
+    "Zero-Clause BSD (0BSD)", "BSD", "BSD License", "The BSD License",
+    "BSD 2-Clause", "BSD 2-Clause License", "The BSD 2-Clause License", "2-Clause BSD License", "The 2-Clause BSD License",
+    'BSD 2-Clause "Simplified" License', "Simplified BSD License", "The Simplified BSD License", "FreeBSD License",
+    "BSD 3-Clause", "BSD 3-Clause License", "The BSD 3-Clause License", "3-Clause BSD License", "The 3-Clause BSD License",
+    'BSD 3-Clause "New" or "Revised" License', "New BSD License", "The New BSD License", "Modified BSD License",
+    "Revised BSD License",
+    "Unlicense", "The Unlicense", "Unlicense License", "Zlib", "Zlib License", "The Zlib License", "Zlib/libpng License",
+    "The zlib/libpng License",
+    "Apache License", "The Apache License", "Apache License 2.0", "Apache License, Version 2.0", "Apache-2.0",
+    "Version 2.0, January 2004", "Apache License Version 2.0, January 2004", "http://www.apache.org/licenses/",
+    "GNU General Public License", "The GNU General Public License", "GNU GPL", "GPL",
+    "GNU Library General Public License", "GNU Lesser General Public License", "GNU LGPL", "LGPL",
+    "GNU General Public License Version 1", "GNU General Public License Version 2", "GNU General Public License Version 3",
+    "GNU General Public License v2.0", "GNU General Public License v3.0", "GNU Lesser General Public License v2.1",
+    "GNU Lesser General Public License v3.0", "GNU Lesser General Public License Version 2.1",
+    "GNU Lesser General Public License Version 3", "GNU Free Documentation License",
+    "Version 1, February 1989", "Version 2, June 1991", "Version 2.1, February 1999", "Version 3, 29 June 2007",
+    "Version 1.2, November 2002", "Version 1.3, 3 November 2008",
+    "Mozilla Public License", "Mozilla Public License Version 1.1", "Mozilla Public License Version 2.0",
+    "Mozilla Public License, v. 2.0", "Version 1.1", "Version 2.0", "MPL-2.0",
+    "Creative Commons Legal Code", "CC0 1.0 Universal", "Creative Commons CC0 1.0 Universal", "CC0",
+)
 
 #: One-line notices that name a licence.
 NOTICES: dict[str, str] = {
