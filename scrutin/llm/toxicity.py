@@ -6,7 +6,7 @@ words, the largest answer of each filter over the whole text goes to a logistic
 from the words' class log-odds, so that the largest answers point at telling words from the first step on.
 
 The model is fitted on a bounded sample of labelled texts on the driver (``Options``); all texts are scored
-whole, slice by slice, by tasks. Language, source and id are never inputs of a score; the language of a
+whole, slice by slice, by tasks. Thresholds by language come from all rows with a usable label, in their true mix. Language, source and id are never inputs of a score; the language of a
 row only chooses the threshold that its score is held against.
 """
 
@@ -23,6 +23,11 @@ from pyspark.sql import functions as F
 from scrutin.llm import text as T
 
 
+#: Models that thresholds are measured with, and equal ranges of scores that rows are counted in.
+FOLDS = 3
+BINS = 2000
+
+
 class Options(NamedTuple):
     """Bounds of the training sample, and the shape and training of the model."""
 
@@ -183,32 +188,70 @@ def fit(texts: Texts, labels: np.ndarray, o: Options, share: float) -> Model:
     return model
 
 
-def calibrate(scores: np.ndarray, labels: np.ndarray, langs: list[str], default: float) -> dict[str, float]:
+def calibrate(counts: dict[str, np.ndarray], default: float) -> dict[str, float]:
     """Per language the threshold with the best F1, in the middle of its range and within 0.2 to 0.5.
 
-    A language without labels of both classes keeps the default.
+    ``counts`` has, by language, the rows of either label in each of ``BINS`` equal ranges of scores. A language
+    without labels of both classes keeps the default.
     """
     found = {}
-    for lang in sorted(set(langs)):
-        mine = np.array([x == lang for x in langs])
-        s, y = scores[mine], labels[mine]
-        if not 0 < y.sum() < len(y):
+    for lang, (zeros, ones) in sorted(counts.items()):
+        if not zeros.sum() or not ones.sum():
             continue
-        order = np.argsort(-s, kind="stable")
-        s, hits = s[order], np.cumsum(y[order])
-        f1 = 2 * hits / (np.arange(1, len(s) + 1) + y.sum())
-        f1[:-1][s[:-1] == s[1:]] = 0
-        k = int(np.argmax(f1))
-        low = s[k + 1] if k + 1 < len(s) else 0.0
-        found[lang] = float(np.clip((s[k] + low) / 2, min(0.2, default), max(0.5, default)))
+        held = np.flatnonzero(zeros + ones)[::-1]
+        hits = np.cumsum(ones[held])
+        k = int(np.argmax(2 * hits / (np.cumsum((zeros + ones)[held]) + ones.sum())))
+        low = held[k + 1] + 1 if k + 1 < len(held) else 0
+        found[lang] = float(np.clip((held[k] + low) / 2 / BINS, min(0.2, default), max(0.5, default)))
     return found
 
 
-def sample(docs: DataFrame, labels: DataFrame, o: Options) -> tuple[DataFrame, float]:
-    """Labelled texts to learn from, and the share of ones among all labels that may be used."""
+def usable_labels(labels: DataFrame) -> DataFrame:
+    """One row for each id whose label may be used; contradicting labels count as toxic."""
     usable = labels.filter("doc_id is not null and toxic is not null")
     usable = usable.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
-    usable = usable.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    return usable.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+
+
+def score_counts(rows: DataFrame, labels: DataFrame, models: list[Model]) -> dict[str, np.ndarray]:
+    """``calibrate``'s counts over all rows with a usable label, each scored by the model that has not seen its text.
+
+    Texts do not move: rows are scored where they are, and their ids with ranges of scores are counted and joined.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(models)
+    bits = models[0].options.bits
+
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            folds, at, found = batch["__fold"].to_numpy(), 0, np.zeros(batch.num_rows)
+            for piece in T.slices(batch["__text"]):
+                texts = texts_of(piece, bits)
+                mine = folds[at : at + len(texts.bounds) - 1]
+                for fold, model in enumerate(shared.value):
+                    held = np.flatnonzero(mine == fold)
+                    if len(held):
+                        found[at + held] = sigmoid(logits(model, take(texts, held)).astype(np.float64))
+                at += len(mine)
+            bins = pa.array(np.minimum(found * BINS, BINS - 1).astype(np.int32))
+            yield batch.select(["__id", "__lang"]).append_column("__bin", bins)
+
+    fold = F.pmod(F.xxhash64("__text"), F.lit(FOLDS)).cast("int").alias("__fold")
+    usable = usable_labels(labels).withColumnsRenamed({"doc_id": "__label_id", "toxic": "__toxic"})
+    ids = rows.filter("doc_id is not null").select(F.col("doc_id").alias("__id"), "__lang", "__text", fold)
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    binned = ids.mapInArrow(ranges, f"__id {kind}, __lang string, __bin int").groupBy("__id", "__lang", "__bin").agg(F.count(F.lit(1)).alias("n"))
+    joined = binned.join(usable, F.col("__id") == F.col("__label_id"))
+    # At most two rows for each language and range.
+    got = joined.groupBy("__lang", "__toxic", "__bin").agg(F.sum("n").alias("n")).collect()
+    counts: dict[str, np.ndarray] = {}
+    for r in got:
+        counts.setdefault(r["__lang"] or "", np.zeros((2, BINS), dtype=np.int64))[int(r["__toxic"] > 0), r["__bin"]] += r["n"]
+    return counts
+
+
+def sample(docs: DataFrame, labels: DataFrame, o: Options) -> tuple[DataFrame, float]:
+    """Labelled texts to learn from, and the share of ones among all labels that may be used."""
+    usable = usable_labels(labels)
     ones, rows = usable.agg(F.sum("toxic"), F.count(F.lit(1))).first()
     parts = [
         usable.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
@@ -233,12 +276,12 @@ def train(docs: DataFrame, labels: DataFrame, o: Options, text: str, lang: str |
                 cells += [t.words[:, a:b].tobytes() for a, b in zip(t.bounds[:-1], t.bounds[1:], strict=True)]
             yield batch.drop_columns(["__text"]).append_column("words", pa.array(cells, pa.binary()))
 
-    shape = "__lang string, __toxic int, __hash bigint, words binary"
-    got = found.select("__text", "__lang", "__toxic", F.xxhash64("__text").alias("__hash")).mapInArrow(named, shape)
+    shape = "__toxic int, __hash bigint, words binary"
+    got = found.select("__text", "__toxic", F.xxhash64("__text").alias("__hash")).mapInArrow(named, shape)
     # Two numbers of four bytes for each word of the sample. Copies of a text are learned from once.
     got = got.dropDuplicates(["__hash"]).toArrow().sort_by([("__hash", "ascending")])
     y = got["__toxic"].to_numpy().astype(np.float32)
-    langs = [x or "" for x in got["__lang"].to_pylist()]
+    got_hash = got["__hash"].to_numpy()
     sizes = [len(c) // 8 for c in got["words"].to_pylist()]
     bounds = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
     words = np.zeros((2, bounds[-1]), dtype=np.int32)
@@ -246,11 +289,12 @@ def train(docs: DataFrame, labels: DataFrame, o: Options, text: str, lang: str |
         words[:, bounds[i] : bounds[i + 1]] = np.frombuffer(cell.as_buffer() or b"", np.int32).reshape(2, -1)
     texts = Texts(words, bounds)
     del got
-    # Thresholds come from texts that the model of their own calibration has not seen.
-    unseen = np.arange(len(y)) % 4 == 0
-    first = fit(take(texts, np.flatnonzero(~unseen)), y[~unseen], o, share)
-    scores = sigmoid(logits(first, take(texts, np.flatnonzero(unseen))))
-    thresholds = calibrate(scores, y[unseen], [x for x, u in zip(langs, unseen, strict=True) if u], o.threshold)
+    thresholds = {}
+    if len(y) and y.min() != y.max():
+        # Each text is held out of one model; copies of a text have one hash.
+        fold = got_hash % FOLDS
+        models = [fit(take(texts, np.flatnonzero(fold != k)), y[fold != k], o, share) for k in range(FOLDS)]
+        thresholds = calibrate(score_counts(rows, labels, models), o.threshold)
     return fit(texts, y, o, share)._replace(thresholds=thresholds)
 
 

@@ -71,3 +71,27 @@ def test_query(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     both = got.join(labels.withColumnRenamed("toxic", "label"), "doc_id").filter("held_out").collect()
     assert np.mean([r.predicted == r.label for r in both]) > 0.9
+
+
+def test_thresholds_count_all_labelled_rows(spark, monkeypatch):
+    rng, rows = Random(4), []
+    for i in range(1500):
+        words = [f"w{rng.randint(0, 300)}" for _ in range(20)]
+        if i % 10 == 0 or i % 7 == 0:
+            words.append("snarl")
+        rows.append((i, " ".join(words), "xx" if i % 2 else None, int(i % 10 == 0)))
+    docs = spark.createDataFrame([r[:3] for r in rows] + [rows[1][:3]], "doc_id bigint, text string, lang string").repartition(5)
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id bigint, toxic int")
+    seen, real = [], toxicity.calibrate
+    monkeypatch.setattr(toxicity, "calibrate", lambda counts, *rest: seen.append(counts) or real(counts, *rest))
+    toxicity.score(docs, labels, options=toxicity.Options(positives=60, negatives=60, epochs=1)).collect()
+    usable = [r for r in [*rows, rows[1]] if __import__("zlib").crc32(str(r[0]).encode()) % 4 != 2]
+    want = {k: [sum((r[2] or "") == k and r[3] == y for r in usable) for y in (0, 1)] for k in ("", "xx")}
+    assert {k: v.sum(axis=1).tolist() for k, v in seen[0].items()} == want
+
+
+def test_threshold_of_best_f1():
+    counts = np.zeros((2, toxicity.BINS), dtype=np.int64)
+    counts[0, [100, 700]] = 500, 8
+    counts[1, [700, 900]] = 5, 5
+    assert toxicity.calibrate({"a": counts, "b": counts * [[1], [0]]}, 0.3) == {"a": (700 + 101) / 2 / toxicity.BINS}
