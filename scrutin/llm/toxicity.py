@@ -259,7 +259,7 @@ def sample(docs: DataFrame, labels: DataFrame, o: Options) -> tuple[DataFrame, f
     ]
     chosen = parts[0].union(parts[1]).withColumnRenamed("toxic", "__toxic").withColumnRenamed("doc_id", "__id")
     # At most positives + negatives ids.
-    texts = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))
+    texts = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("__id")).withColumn("__id", F.col("doc_id"))
     return texts.filter(F.octet_length("__text") <= o.train_bytes), (ones or 0) / rows if rows else 0.0
 
 
@@ -268,6 +268,8 @@ def train(docs: DataFrame, labels: DataFrame, o: Options, text: str, lang: str |
     rows = docs.select(F.col("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"), spoken.alias("__lang"))
     found, share = sample(rows, labels, o)
 
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cells = []
@@ -276,8 +278,10 @@ def train(docs: DataFrame, labels: DataFrame, o: Options, text: str, lang: str |
                 cells += [t.words[:, a:b].tobytes() for a, b in zip(t.bounds[:-1], t.bounds[1:], strict=True)]
             yield batch.drop_columns(["__text"]).append_column("words", pa.array(cells, pa.binary()))
 
-    shape = "__toxic int, __hash bigint, words binary"
-    got = found.select("__text", "__toxic", F.xxhash64("__text").alias("__hash")).mapInArrow(named, shape)
+    shape = f"__id {kind}, __toxic int, __hash bigint, words binary"
+    got = found.select("__text", "__id", "__toxic", F.xxhash64("__text").alias("__hash")).mapInArrow(named, shape)
+    # One row for each chosen id, that with the smallest hash.
+    got = got.groupBy("__id").agg(F.min(F.struct("__hash", "__toxic", "words")).alias("row")).select("row.*")
     # Two numbers of four bytes for each word of the sample. Copies of a text are learned from once.
     got = got.dropDuplicates(["__hash"]).toArrow().sort_by([("__hash", "ascending")])
     y = got["__toxic"].to_numpy().astype(np.float32)

@@ -95,3 +95,15 @@ def test_threshold_of_best_f1():
     counts[0, [100, 700]] = 500, 8
     counts[1, [700, 900]] = 5, 5
     assert toxicity.calibrate({"a": counts, "b": counts * [[1], [0]]}, 0.3) == {"a": (700 + 101) / 2 / toxicity.BINS}
+
+
+def test_one_row_of_an_id_is_learned_from(spark, monkeypatch):
+    rows = [(1, f"snarl w{i}") for i in range(400)] + [(i, f"plain v{i}") for i in range(2, 30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(i == 1)) for i in range(1, 30)], "doc_id bigint, toxic int")
+    assert __import__("zlib").crc32(b"1") % 4 != 2
+    sizes, real = [], toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda texts, y, *rest: sizes.append((len(y), int(y.sum()))) or real(texts, y, *rest))
+    toxicity.score(docs, labels, lang=None).collect()
+    usable = [i for i in range(1, 30) if __import__("zlib").crc32(str(i).encode()) % 4 != 2]
+    assert sizes[-1] == (len(usable), 1)
