@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrutin.llm import decontaminate, licenses, lm_score, ngram_join, packing, quality, suffix_dedup, token_counts, token_files, toxicity
+from scrutin.llm import decontaminate, html_text, licenses, lm_score, ngram_join, packing, quality, suffix_dedup, token_counts, token_files, toxicity
 from scrutin.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,12 @@ def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of all pages."""
+    found = html_text.main_text(read(spark, folder, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", "n_chars")
+
+
 _STOPS = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
 QUALITY_SQL = rf"""
 with texts as (
@@ -109,4 +115,5 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_suffix_array_dedup": (suffix_array_dedup, None),
     "op9_benchmark_decontamination": (decontamination, None),
     "op10_quality_rules": (quality_rules, QUALITY_SQL),
+    "op11_html_extraction": (html_extraction, None),
 }
