@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 
 #: Lines on each side that smoothing takes in, and its standard deviation.
 RADIUS, SIGMA = 2, 1.0
+#: Elements nested deeper than this stand beside each other, as in browsers, so that the work of a page stays linear.
+DEPTH = 512
 #: Share of the clusters' characters that the content region must hold.
 SHARE = 0.8
 
@@ -78,10 +80,11 @@ _CUT_TAG = re.compile(r"<[a-zA-Z/!?]")
 class _Element:
     """An open element. ``drop``: its lines are not of the article; ``sure``: by its tag, not by its name."""
 
-    __slots__ = ("tag", "parent", "drop", "sure", "mass", "heads", "text", "linked", "items")
+    __slots__ = ("tag", "parent", "depth", "drop", "sure", "mass", "heads", "text", "linked", "items")
 
     def __init__(self, tag: str, parent: _Element | None):
         self.tag, self.parent = tag, parent
+        self.depth = parent.depth + 1 if parent else 0
         self.drop = self.sure = False
         self.mass = 0  # characters of clusters below it
         self.heads = 0  # headings below it
@@ -164,6 +167,8 @@ class _Lines(HTMLParser):
         attrs = dict(pairs)
         if tag in _ARTICLE:
             self.begin_article()
+        if self.open.depth >= DEPTH:
+            self.up_to(self.open)
         new = _Element(tag, self.open)
         self.open = new
         if tag == "a":

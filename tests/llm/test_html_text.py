@@ -111,3 +111,7 @@ def test_rows(spark):
     assert out.count() == len(rows)
     empty = H.main_text(pages.limit(0))
     assert empty.count() == 0 and empty.columns == out.columns
+
+
+def test_deep_nesting_is_read_in_linear_time():
+    assert H.extract("<div>a " * 20_000) == " ".join("a" * 20_000)
