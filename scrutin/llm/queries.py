@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrutin.llm import decontaminate, html_text, licenses, lm_score, ngram_join, packing, quality, suffix_dedup, token_counts, token_files, toxicity
+from scrutin.llm import decontaminate, html_text, licenses, lm_score, merkle, ngram_join, packing, quality, suffix_dedup, token_counts, token_files, toxicity
 from scrutin.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,15 @@ def html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "url", "text", "n_chars")
 
 
+def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Proofs of all documents; where crc32 of the id is even, of the text without its line feeds."""
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    damaged = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    docs = read(spark, folder, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    proven = merkle.manifest(docs, altered={"text": damaged})
+    return proven.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
 _STOPS = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
 QUALITY_SQL = rf"""
 with texts as (
@@ -104,6 +113,60 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from judged
 """
 
+_FIELD = "coalesce(octet_length(encode({0}::varchar))::varchar || ':' || {0}::varchar, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_FIELD.format(f) for f in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+#: The lowest bit of crc32, by its shift register: bytes of the decimal id go in one by one.
+_CRC_BIT = """(1 & ~list_reduce(list_prepend(4294967295::bigint, [ascii(d)::bigint for d in string_split(doc_id::varchar, '')]),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+        lambda r, z: xor(r >> 1, 3988292384 * (r & 1)))))"""
+
+
+def _tree(name: str, start: str) -> str:
+    return f"""{name}(tree, level, i, n, h) as (
+    {start}
+    union all
+    select tree, level + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' order by i)) from {name} where n > 1 group by tree, level, i // 3, n)"""
+
+
+MERKLE_SQL = f"""
+with recursive leaves as (
+    select doc_id, coalesce('s' || source, '') as tree, {_leaf("text")} as leaf,
+           {_leaf(f"(case when {_CRC_BIT} = 0 then replace(text, chr(10), '') else text end)")} as changed,
+           row_number() over (partition by source order by doc_id) - 1 as i, count(*) over (partition by source) as n
+    from documents
+), {_tree("low", "select tree, 0::bigint, i, n, leaf from leaves")},
+subroots as (select tree, h, row_number() over (order by tree) - 1 as i, count(*) over () as n from low where n = 1),
+{_tree("high", "select '', 0::bigint, i, n, h from subroots")},
+steps as (
+    select l.doc_id, s.level, s.i, s.h from leaves l join low s on s.tree = l.tree and s.n > 1
+        and s.i // 3 = (l.i // (3 ** s.level)::bigint) // 3 and s.i <> l.i // (3 ** s.level)::bigint
+    union all
+    select l.doc_id, 1000 + s.level, s.i, s.h from leaves l join subroots r on r.tree = l.tree join high s on s.n > 1
+        and s.i // 3 = (r.i // (3 ** s.level)::bigint) // 3 and s.i <> r.i // (3 ** s.level)::bigint
+), proofs as (select doc_id, string_agg(h, '' order by level, i) as proof from steps group by doc_id),
+folded(doc_id, tree, level, i, n, h) as (
+    select doc_id, tree, 0::bigint, i, n, changed from leaves
+    union all
+    select f.doc_id, f.tree, f.level + 1, f.i // 3, (f.n + 2) // 3, sha256(string_agg(case when s.i = f.i then f.h else s.h end, '' order by s.i))
+    from folded f join low s on s.tree = f.tree and s.level = f.level and s.i // 3 = f.i // 3 where f.n > 1
+    group by f.doc_id, f.tree, f.level, f.i, f.n
+), ends(doc_id, level, i, n, h) as (
+    select f.doc_id, 0::bigint, r.i, r.n, f.h from folded f join subroots r on r.tree = f.tree where f.n = 1
+    union all
+    select f.doc_id, f.level + 1, f.i // 3, (f.n + 2) // 3, sha256(string_agg(case when s.i = f.i then f.h else s.h end, '' order by s.i))
+    from ends f join high s on s.level = f.level and s.i // 3 = f.i // 3 where f.n > 1
+    group by f.doc_id, f.level, f.i, f.n
+)
+select l.doc_id, l.leaf, r.h as subroot, t.h as root, sha256(coalesce(p.proof, '')) as proof_sha256, e.h as folded_root, e.h = t.h as verified
+from leaves l join subroots r on r.tree = l.tree join (select h from high where n = 1) t on true
+left join proofs p on p.doc_id = l.doc_id join ends e on e.doc_id = l.doc_id and e.n = 1
+"""
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_ngram_jaccard_join": (ngram_jaccard, None),
     "op2_token_counts": (token_count, None),
@@ -116,4 +179,5 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op9_benchmark_decontamination": (decontamination, None),
     "op10_quality_rules": (quality_rules, QUALITY_SQL),
     "op11_html_extraction": (html_extraction, None),
+    "op12_merkle_manifest": (merkle_manifest, MERKLE_SQL),
 }
