@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrutin.llm import decontaminate, html_text, licenses, lm_score, merkle, ngram_join, packing, quality, suffix_dedup, token_counts, token_files, toxicity
+from scrutin.llm import decontaminate, hard_negatives, html_text, licenses, lm_score, merkle, ngram_join, packing, quality, suffix_dedup, token_counts, token_files, toxicity
 from scrutin.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,13 @@ def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return proven.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
 
 
+def hard_negative_mining(spark: SparkSession, folder: str) -> DataFrame:
+    """Negatives for every hundredth vector against all; labels of every seventh are shifted."""
+    vectors = read(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", shifted), F.col("vec_id") % 100 == 0)
+
+
 _STOPS = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
 QUALITY_SQL = rf"""
 with texts as (
@@ -167,6 +174,26 @@ from leaves l join subroots r on r.tree = l.tree join (select h from high where
 left join proofs p on p.doc_id = l.doc_id join ends e on e.doc_id = l.doc_id and e.n = 1
 """
 
+NEGATIVES_SQL = """
+with v as (
+    select row_number() over () as r, vec_id::bigint as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           [floor(256 * x::double)::bigint for x in embedding] as e
+    from embeddings where label is not null and embedding is not null and vec_id is not null
+      and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+), scored as (
+    select a.r as ar, a.id as anchor_id, b.r as br, b.id, a.label = b.label as same,
+           list_sum([x[1] * x[2] for x in list_zip(a.e, b.e)])::bigint as score
+    from v a join v b on a.id % 100 = 0 and a.r <> b.r
+), positives as (
+    select * from scored where same qualify row_number() over (partition by ar order by score desc, id, br) <= 5
+), ranked as (
+    select p.anchor_id, p.id as positive_id, n.id as negative_id, p.score as positive_score, n.score as negative_score,
+           row_number() over (partition by p.ar, p.br order by n.score desc, n.id, n.br)::int as rank
+    from positives p join scored n on n.ar = p.ar and not n.same and 80 * p.score <= 100 * n.score and n.score <= p.score
+)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from ranked where rank <= 5
+"""
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_ngram_jaccard_join": (ngram_jaccard, None),
     "op2_token_counts": (token_count, None),
@@ -180,4 +207,5 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op10_quality_rules": (quality_rules, QUALITY_SQL),
     "op11_html_extraction": (html_extraction, None),
     "op12_merkle_manifest": (merkle_manifest, MERKLE_SQL),
+    "op13_hard_negative_mining": (hard_negative_mining, NEGATIVES_SQL),
 }
