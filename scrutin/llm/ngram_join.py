@@ -5,8 +5,10 @@ texts share is counted in every fragment by itself and then summed: per text, to
 too little occurs elsewhere, and per pair, to verify candidates. The steps:
 
 1. Equal sets are one node. A node's name is a 64-bit hash of its set; only names are shuffled.
-2. Fragments of hashes count, per node, the n-grams that another node has. A node of which less than the
-   threshold is shared can have no link. Most of a corpus ends here.
+2. Fragments of hashes count, per node, the n-grams that another node has, and the counts are summed by ranges of
+   nodes. A node of which less than the threshold is shared can have no link. Most of a corpus ends here. N-grams
+   that several nodes of a task have are counted there; of each, a fragment gets one entry per task, without a
+   node, so a very frequent n-gram makes no fragment larger.
 3. The rest gets the exact order (frequency, hash). Two sets that link share an n-gram among the first
    ``n - ceil(t * n) + 1`` of each (prefix filter), so such n-grams are the candidate lists.
 4. Every node of a list is paired with the list's most central node, which joins most large groups with as
@@ -15,7 +17,8 @@ too little occurs elsewhere, and per pair, to verify candidates. The steps:
    difference of the sets, so no link is lost, and pairs within one component are left out.
 5. Pairs are verified by the sums of their overlaps in all fragments, and links give components.
 
-Two different n-grams share a name with a probability of 2**-64.
+Texts, sets and n-grams are told apart by 64-bit hashes: two given ones share a name with a probability of 2**-64, and
+no way of building texts is known that makes it higher.
 """
 
 from __future__ import annotations
@@ -28,13 +31,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrutin.llm import text as T
-from scrutin.llm.tables import components, kept, partitions
+from scrutin.llm.tables import components, kept, partitions, to_one
 
 #: N-grams of a fragment in the first pass, about. More than that only slows a task down.
 FRAGMENT_ITEMS = 2_000_000
 #: N-grams of a fragment when those that remain are counted.
 LEFT_ITEMS = 1_000_000
-#: Ids of at most so many remaining texts are broadcast (16 bytes each); more are joined by a shuffle.
+#: Nodes of a range for which the counts of all fragments are summed in one task.
+RANGE_NODES = 8192
+#: Ids of at most so many remaining texts are broadcast (24 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Fragments of the sets that are verified.
 SEGMENTS = 4
@@ -84,22 +89,63 @@ def _named(n: int):
 _DEALT = "frag int, nodes binary, sizes binary, counts binary, items binary"
 
 
+def _by_range(nodes: np.ndarray, sizes: np.ndarray, counts: np.ndarray, ranges: int) -> list[tuple[int, bytes, bytes, bytes]]:
+    """Counts of nodes as one row per range of nodes."""
+    of = (T.mix(nodes.view(T.U64)) % T.U64(ranges)).astype(np.int64)
+    order = np.argsort(of, kind="stable")
+    cuts = np.searchsorted(of[order], np.arange(ranges + 1))
+    cells = [(x[order], t) for x, t in ((nodes, np.int64), (sizes, np.int32), (counts, np.int32))]
+    return [(r, *[x[cuts[r] : cuts[r + 1]].astype(t).tobytes() for x, t in cells]) for r in np.flatnonzero(np.diff(cuts)).tolist()]
+
+
+def _deal_counts(rows: list[tuple[int, np.ndarray]], fragments: int, ranges: int) -> pa.RecordBatch:
+    """As ``_deal``, but for n-grams of several nodes, which are counted here: rows with ``frag`` -1 - range."""
+    nodes = np.array([r[0] for r in rows], dtype=np.int64)
+    sizes = np.array([len(r[1]) for r in rows], dtype=np.int64)
+    items, owner = np.concatenate([r[1] for r in rows]), np.repeat(np.arange(len(rows)), sizes)
+    order = np.argsort(items)
+    items, owner = items[order], owner[order]
+    new = np.ones(len(items), dtype=bool)
+    new[1:] = items[1:] != items[:-1]
+    alone = new & np.append(new[1:], True)
+    counts = np.bincount(owner[~alone], minlength=len(rows))
+    some = counts > 0
+    known = [(-1 - r, n, s, c, b"") for r, n, s, c in _by_range(nodes[some], sizes[some], counts[some], ranges)]
+    # An entry of a node nobody has stands for those that are counted.
+    stand_in = items[new & ~alone]
+    mine = [items[alone][np.argsort(owner[alone], kind="stable")], stand_in]
+    ends = np.bincount(owner[alone], minlength=len(rows))
+    dealt = _cut(
+        np.append(nodes, 0), np.append(sizes, 0), np.append(ends, len(stand_in)), np.concatenate(mine), fragments, True
+    )
+    return _batch(dealt + known)
+
+
 def _deal(rows: list[tuple[int, np.ndarray]], fragments: int, low_only: bool) -> pa.RecordBatch:
     """Segments of sets by fragment. ``low_only``: the lower halves of names, enough within a fragment."""
     nodes = np.array([r[0] for r in rows], dtype=np.int64)
     sizes = np.array([len(r[1]) for r in rows], dtype=np.int64)
     items = np.concatenate([r[1] for r in rows]) if rows else np.zeros(0, T.U64)
+    return _batch(_cut(nodes, sizes, sizes, items, fragments, low_only))
+
+
+def _cut(nodes: np.ndarray, sizes: np.ndarray, held: np.ndarray, items: np.ndarray, fragments: int, low_only: bool) -> list[tuple]:
+    """Rows of a fragment each; ``held``: how many of the items each node has."""
     frag = ((items >> T.U64(32)) % T.U64(fragments)).astype(np.int64)
-    owner = np.repeat(np.arange(len(rows)), sizes)
+    owner = np.repeat(np.arange(len(nodes)), held)
     order = np.argsort(frag, kind="stable")
     frag, owner, items = frag[order], owner[order], items[order]
     cuts = np.searchsorted(frag, np.arange(fragments + 1))
     out = []
     for f in np.flatnonzero(np.diff(cuts)).tolist():
-        mine, held = owner[cuts[f] : cuts[f + 1]], items[cuts[f] : cuts[f + 1]]
+        mine, some = owner[cuts[f] : cuts[f + 1]], items[cuts[f] : cuts[f + 1]]
         who, counts = np.unique(mine, return_counts=True)
-        held = (held & T.U64(0xFFFFFFFF)).astype(np.uint32) if low_only else held
-        out.append((f, nodes[who].tobytes(), sizes[who].astype(np.int32).tobytes(), counts.astype(np.int32).tobytes(), held.tobytes()))
+        some = (some & T.U64(0xFFFFFFFF)).astype(np.uint32) if low_only else some
+        out.append((f, nodes[who].tobytes(), sizes[who].astype(np.int32).tobytes(), counts.astype(np.int32).tobytes(), some.tobytes()))
+    return out
+
+
+def _batch(out: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*out, strict=True)) if out else [[]] * 5
     types = [pa.int32()] + [pa.binary()] * 4
     return pa.RecordBatch.from_arrays(
@@ -119,12 +165,41 @@ def _frequencies(items: np.ndarray) -> np.ndarray:
     return counts[where]
 
 
-def _shared_counts(table: pa.Table) -> pa.Table:
-    """Per node, how many items of the fragment another node has."""
-    nodes, _, owner, items = _joined(table, np.uint32)
-    shared = np.bincount(owner[_frequencies(items) > 1], minlength=len(nodes))
-    some = shared > 0
-    return pa.table({"node": nodes[some], "shared": shared[some].astype(np.int64)})
+_COUNTED = "range int, nodes binary, sizes binary, counts binary"
+
+
+def _shared_counts(ranges: int):
+    """How many items of the fragment another node has, by node and packed by range of nodes."""
+
+    def run(table: pa.Table) -> pa.Table:
+        frag = table["frag"][0].as_py()
+        if frag < 0:
+            cells = {c: table[c] for c in ("nodes", "sizes", "counts")}
+            return pa.table({"range": pa.array([-1 - frag] * len(table), pa.int32()), **cells})
+        nodes, sizes, owner, items = _joined(table, np.uint32)
+        shared = np.bincount(owner[_frequencies(items) > 1], minlength=len(nodes))
+        some = (shared > 0) & (sizes > 0)
+        rows = _by_range(nodes[some], sizes[some], shared[some], ranges)
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
+        types = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+        return pa.table({c: pa.array(v, t) for c, v, t in zip(("range", "nodes", "sizes", "counts"), columns, types, strict=True)})
+
+    return run
+
+
+def _able(percent: int):
+    """Nodes of a range that share as much as a link takes."""
+
+    def run(table: pa.Table) -> pa.Table:
+        nodes, sizes, counts = (
+            np.frombuffer(b"".join(table[c].to_pylist()), t) for c, t in (("nodes", np.int64), ("sizes", np.int32), ("counts", np.int32))
+        )
+        nodes, first, where = np.unique(nodes, return_index=True, return_inverse=True)
+        total = np.bincount(where, weights=counts, minlength=len(nodes))
+        enough = 100 * total >= percent * sizes[first].astype(np.int64)
+        return pa.table({"node": nodes[enough]})
+
+    return run
 
 
 def _shared_items(table: pa.Table) -> pa.Table:
@@ -198,20 +273,23 @@ def jaccard_groups(
     n-grams, or all its words as one if there are fewer. Two texts link when 100 * intersection >=
     percent * union; ``component_id`` is the smallest id that is reachable. Null and empty texts have no set
     and are linked with nothing: their component is themselves. Equal texts link at any length. Rows with
-    one id may hold different texts; each row follows its own text. A null id is never a component.
+    one id may hold different texts; each row follows its own text. A text whose rows all have a null id links and
+    joins others as any text does, but a null id is never a component, unless no other is reachable. ``key``
+    must be an integer, or text that reads as one.
     """
     if not 0 < percent <= 100:
         raise ValueError("percent must be in 1..100")
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    named = rows.withColumn("s", _named(n)("text")).select("doc_id", F.col("s.n").alias("n"), F.col("s.node").alias("node"))
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    named = rows.withColumn("s", _named(n)("text")).select("doc_id", "hash", F.col("s.n").alias("n"), F.col("s.node").alias("node"))
     named = kept(named, "ngram-names")
     links = _links(rows, named, n, percent)
     roots = components(links, "ngram-components")
-    first = named.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    rooted = first.join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
+    nodes = named.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    rooted = nodes.join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    placed = rooted.join(least, "root").select("node", "component_id")
-    return named.join(placed, "node", "left").select(
+    placed = to_one(rooted, least, "root").select("node", "component_id")
+    return to_one(named, placed, "node").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
 
@@ -219,13 +297,14 @@ def jaccard_groups(
 def _links(rows: DataFrame, named: DataFrame, n: int, percent: int) -> DataFrame:
     """Links between nodes, enough of them for the components."""
     spark = rows.sparkSession
-    total = named.agg(F.sum("n")).first()[0] or 0
-    fragments = max(partitions(spark), total // FRAGMENT_ITEMS + 1)
+    size = named.agg(F.sum("n").alias("items"), F.count(F.lit(1)).alias("rows")).first()
+    fragments = max(partitions(spark), (size["items"] or 0) // FRAGMENT_ITEMS + 1)
+    ranges = size["rows"] // RANGE_NODES + 1
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            waiting, held = [], 0
+            waiting, held = {}, 0
             for piece in T.slices(batch.column(0)):
                 for items in sets_of(piece, n):
                     if not len(items) or (node := name_of(items)) in seen:
@@ -233,20 +312,21 @@ def _links(rows: DataFrame, named: DataFrame, n: int, percent: int) -> DataFrame
                     if len(seen) >= SEEN_SETS:
                         seen.clear()
                     seen.add(node)
-                    waiting.append((node, items))
+                    # A set that is forgotten may come again, and must not meet itself.
+                    waiting[node] = items
                     held += len(items)
                     if held > FRAGMENT_ITEMS:
-                        yield _deal(waiting, fragments, True)
-                        waiting, held = [], 0
+                        yield _deal_counts(list(waiting.items()), fragments, ranges)
+                        waiting, held = {}, 0
             if waiting:
-                yield _deal(waiting, fragments, True)
+                yield _deal_counts(list(waiting.items()), fragments, ranges)
 
     # A copy of a set in another task counts as sharing, so this keeps more than it must, never less.
-    shared = rows.select("text").mapInArrow(deal, _DEALT).groupBy("frag").applyInArrow(_shared_counts, "node bigint, shared bigint")
-    per_node = shared.groupBy("node").agg(F.sum("shared").alias("shared"))
-    first = named.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
-    able = per_node.join(first, "node").filter(F.col("shared") >= F.ceil(F.col("n") * percent / 100))
-    able = kept(able.select("doc_id", "node"), "ngram-able")
+    counted = rows.select("text").mapInArrow(deal, _DEALT).groupBy("frag").applyInArrow(_shared_counts(ranges), _COUNTED)
+    enough = counted.groupBy("range").applyInArrow(_able(percent), "node bigint")
+    # One row of each node gives its set. Ids may repeat or be null, so the text's hash goes along.
+    first = named.filter("n > 0").groupBy("node").agg(F.min(F.struct("doc_id", "hash")).alias("row"))
+    able = kept(enough.join(first, "node").select("row.doc_id", "row.hash", "node"), "ngram-able")
     sets = _sets(rows, able, n)
     lists = _lists(sets, percent)
     star = _verified(_star(lists, percent), sets, percent)
@@ -266,7 +346,7 @@ def _sets(rows: DataFrame, able: DataFrame, n: int) -> DataFrame:
                 out = []
                 for k, items in enumerate(sets_of(piece, n)):
                     if not len(items) or name_of(items) != want[piece.first + k]:
-                        continue  # another text of a repeated id
+                        continue  # a text with another's id and hash
                     ends = np.searchsorted(items >> T.U64(62), np.arange(SEGMENTS + 1).astype(T.U64))
                     for seg in range(SEGMENTS):
                         held = items[ends[seg] : ends[seg + 1]].astype(np.int64)
@@ -277,9 +357,10 @@ def _sets(rows: DataFrame, able: DataFrame, n: int) -> DataFrame:
                     [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["node", "n", "seg", "items", "sketch"]
                 )
 
+    mine = able.select(F.col("doc_id").alias("__id"), F.col("hash").alias("__hash"), "node")
     if able.count() <= BROADCAST_IDS:
-        able = F.broadcast(able)
-    wanted = rows.join(able, "doc_id").select("text", "node")
+        mine = F.broadcast(mine)
+    wanted = rows.join(mine, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("hash") == F.col("__hash"))).select("text", "node")
     found = wanted.mapInArrow(cut, "node bigint, n bigint, seg int, items array<bigint>, sketch binary")
     return kept(found.dropDuplicates(["node", "seg"]), "ngram-sets")
 
@@ -329,7 +410,7 @@ def _pair(a: str, b: str) -> list[Column]:
 def _star(lists: DataFrame, percent: int) -> DataFrame:
     """Each node of a list with the list's most central one: the one with the fewest items of its own."""
     centre = lists.groupBy("item").agg(F.min(F.struct("alone", "node", "n")).alias("c"))
-    paired = lists.join(centre, "item").filter(F.col("node") != F.col("c.node"))
+    paired = to_one(lists, centre, "item").filter(F.col("node") != F.col("c.node"))
     fits = 100 * F.least("n", "c.n") >= percent * F.greatest("n", "c.n")
     return paired.filter(fits).select(*_pair("node", "c.node")).distinct()
 
@@ -339,7 +420,7 @@ def _rest(lists: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) ->
     placed = lists.join(roots, "node", "left").select("item", "node", F.coalesce("root", "node").alias("root"))
     open_lists = placed.groupBy("item").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
     open_lists = open_lists.filter("low <> high").select("item", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    mine = placed.join(open_lists, "item").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    mine = to_one(placed, open_lists, "item").filter("blocks is not null").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # A list of one block is compared once; a larger one, every pair of blocks in a group of its own.
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     mine = mine.select("item", "node", "root", "block", other.alias("other"))

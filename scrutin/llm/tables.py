@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scrutin.operators.lookup import lookup
 from scrutin.scratch import new_path, staged
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -29,6 +30,16 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+#: Rows of one key from which joins answer it by broadcast; N rows have at most N / HOT_ROWS such keys.
+HOT_ROWS = 100_000
+
+
+def to_one(many: DataFrame, one: DataFrame, key: str) -> DataFrame:
+    """Left join of ``many`` to ``one``, which has one row per ``key``; keys with very many rows are joined by broadcast."""
+    weights = many.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
+    return lookup(many, one.join(weights, key), [key], weight="__rows", hot_rows=HOT_ROWS)
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Columns ``node`` and ``root``, the smallest node that is reachable, for each node of an edge.
 
@@ -39,15 +50,12 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     both = kept(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), name)
     roots = kept(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), name)
     while True:
-        near = (
-            both.join(roots.select(F.col("node").alias("b"), "root"), "b")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("root").alias("near"))
-        )
+        # A node may be linked with very many others, and be the root of even more.
+        near = to_one(both, roots.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
         lower = roots.join(near, "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("low"))
         lower = kept(lower, name)
         upper = lower.select(F.col("node").alias("low"), F.col("low").alias("lower"))
-        step = kept(lower.join(upper, "low").select("node", F.least("low", "lower").alias("root"), "old"), name)
+        step = kept(to_one(lower, upper, "low").select("node", F.least("low", "lower").alias("root"), "old"), name)
         if step.filter("root <> old").isEmpty():
             return step.select("node", "root")
         roots = step.select("node", "root")

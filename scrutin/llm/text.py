@@ -2,12 +2,15 @@
 
 Texts are UTF-8 bytes; null counts as empty. A slice holds consecutive rows of about ``SLICE_BYTES``
 (one row at least), which bounds the memory of a task whatever its input; a single text is never cut.
-Words are named by 64-bit hashes: two different words of a corpus of a billion words get the same
-name with a probability below 3 %, two words of one text with one below 1e-9.
+Words are named by 64-bit hashes that mix in eight bytes at a time, and so do not depend on how words are built: two
+different words of a corpus of a billion words get the same name with a probability below 3 %, two words of
+one text with one below 1e-9. Words of more than ``LONG`` bytes are named by BLAKE2b. ``span_hash`` is a polynomial
+over prefix sums, for spans that overlap; strings made for it can collide, so its users compare bytes.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -16,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
+LONG = 64
 U64 = np.uint64
 _ODD = U64(0x9E3779B97F4A7C15)
 _BASE = U64(0xD6E8FEB86659FD93)
@@ -120,7 +124,27 @@ def span_hash(total: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
 
 
 def word_hashes(piece: Slice, found: Words, lower: bool = True) -> np.ndarray:
-    return span_hash(sums(LOWER[piece.data] if lower else piece.data), found.start, found.end)
+    """A name for each word."""
+    data = LOWER[piece.data] if lower else piece.data
+    padded = np.zeros(len(data) + 8, dtype=np.uint8)
+    padded[: len(data)] = data
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    length = found.end - found.start
+    names = mix(length.astype(U64) * _ODD)
+    live = np.flatnonzero(length <= LONG)
+    for at in range(0, LONG, 8):
+        rest = length[live] - at
+        bits = (np.maximum(8 - rest, 0) * 8).astype(U64)
+        # Bytes beyond the word are shifted out.
+        value = (eight[found.start[live] + at] << bits) >> bits
+        names[live] = mix(names[live] ^ value) * _ODD
+        live = live[rest > 8]
+        if not len(live):
+            break
+    for k in np.flatnonzero(length > LONG).tolist():
+        word = data[found.start[k] : found.end[k]].tobytes()
+        names[k] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+    return names
 
 
 def chain(hashes: np.ndarray, n: int) -> np.ndarray:

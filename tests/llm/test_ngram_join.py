@@ -3,9 +3,11 @@
 import re
 from random import Random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from scrutin.llm import ngram_join
+from scrutin.llm import ngram_join, text
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -52,6 +54,12 @@ def corpus(seed):
     texts = [rng.choice([" ", "\n", "\t "]).join(w) for w in docs]
     ids = rng.sample(range(10_000), len(texts))
     rows = list(zip(ids, texts, strict=True))
+    # A chain whose middle has no id, words that share nothing but how they are built, and one id of many texts.
+    base = [f"b{k}" for k in range(80)]
+    rows += [(20_010, " ".join(base)), (None, " ".join(base[1:])), (20_011, " ".join([*base[2:], "end"]))]
+    morse = "".join("ab"[k.bit_count() & 1] for k in range(1024))
+    rows += [(20_012, f"{morse} b c d"), (20_013, f"{morse.translate(str.maketrans('ab', 'ba'))} b c d")]
+    rows += [(20_014, f"one id number {k % 400} of {k % 400} texts") for k in range(1000)]
     return rows + [(20_001, None), (20_002, ""), (20_003, " \n"), rows[0], rows[0], (rows[1][0], "repeated id"), (None, rows[2][1]), (None, "q")]
 
 
@@ -66,3 +74,17 @@ def test_equals_all_pairs(spark, monkeypatch, n, percent, block):
 
 def test_empty_table(spark):
     assert ngram_join.jaccard_groups(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_word_names_tell_words_apart():
+    rng = Random(2)
+    words = {"".join(rng.choice("ab") for _ in range(rng.randint(1, 80))) for _ in range(4000)} | {"a" * k for k in range(1, 200)}
+    words = sorted(words)
+    column = pa.array([" ".join(words), None, "x", " ".join(words).upper(), "x" * 63 + " " + "x" * 64 + " " + "x" * 65])
+    names = []
+    for piece in text.slices(column):
+        names.append(text.word_hashes(piece, text.words(piece)))
+    names = np.concatenate(names)
+    n = len(words)
+    assert len(set(names[:n].tolist())) == n and (names[:n] == names[n + 1 : 2 * n + 1]).all()
+    assert len(set(names[-3:].tolist())) == 3
