@@ -430,13 +430,14 @@ def repeats(rows: DataFrame, size: int) -> DataFrame:
 
 def _kept_bytes(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for texts, cuts in columns:
-        left, removed, runs = [], [], []
+        left, removed, runs, texts_left = [], [], [], []
         for value, spans in zip(texts, cuts, strict=True):
             data = (value.as_py() or "").encode()
             if not spans.is_valid or not len(spans.values):
                 left.append(data)
                 removed.append(0)
                 runs.append(0)
+                texts_left.append(None)
                 continue
             s, e = spans.values.field("s").to_numpy(), spans.values.field("e").to_numpy()
             order = np.argsort(s, kind="stable")
@@ -445,32 +446,35 @@ def _kept_bytes(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Arr
             begin, end = s[new], e[np.append(np.flatnonzero(new)[1:] - 1, len(e) - 1)]
             outs = zip([0, *end.tolist()], [*begin.tolist(), len(data)], strict=True)
             left.append(b"".join(data[a:b] for a, b in outs))
+            # The input is UTF-8, so only characters that a removal cut are left out here.
+            texts_left.append(left[-1].decode(errors="ignore"))
             removed.append(int((end - begin).sum()))
             runs.append(len(begin))
-        yield pa.StructArray.from_arrays(
-            [pa.array(left, pa.binary()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64())], ["kept", "n_removed", "n_spans"]
-        )
+        columns = [pa.array(left, pa.binary()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(texts_left, pa.string())]
+        yield pa.StructArray.from_arrays(columns, ["kept", "n_removed", "n_spans", "kept_text"])
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = SIZE) -> DataFrame:
-    """``docs`` with ``n_bytes``, ``n_removed``, ``n_spans`` (long) and ``kept_bytes`` (binary).
+    """``docs`` with ``n_bytes``, ``n_removed``, ``n_spans`` (long), ``kept_bytes`` (binary) and ``kept_text`` (string).
 
     Every byte that lies in a string of ``size`` bytes which starts at two places or more, in one text or in
     two, is removed; strings are judged on the input. Null and empty texts keep nothing and lose nothing.
     Rows are all kept; repeated rows are copies of each other and so lose everything from ``size`` bytes on.
-    Removal may cut a character; ``kept_bytes`` is not always UTF-8. Columns of these names are replaced.
+    Removal may cut a character, so ``kept_bytes`` is not always UTF-8; ``kept_text`` leaves out what is cut in part,
+    and is null where nothing was removed. Columns of these names are replaced.
     """
     value = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(key).cast("bigint").alias("id"), value.alias("text")).withColumn("name", F.xxhash64("text"))
     cuts = repeats(rows, size).withColumnRenamed("name", "__name").withColumnRenamed("cuts", "__cuts")
     joined = docs.withColumn("__text", value).withColumn("__name", F.xxhash64("__text")).join(cuts, "__name", "left")
-    run = F.arrow_udf(_kept_bytes, "struct<kept: binary, n_removed: bigint, n_spans: bigint>").asNondeterministic()
+    run = F.arrow_udf(_kept_bytes, "struct<kept: binary, n_removed: bigint, n_spans: bigint, kept_text: string>").asNondeterministic()
     found = joined.withColumn("__found", run("__text", "__cuts")).withColumns(
         {
             "n_bytes": F.octet_length("__text").cast("bigint"),
             "n_removed": F.col("__found.n_removed"),
             "n_spans": F.col("__found.n_spans"),
             "kept_bytes": F.col("__found.kept"),
+            "kept_text": F.col("__found.kept_text"),
         }
     )
     return found.drop("__text", "__name", "__cuts", "__found")

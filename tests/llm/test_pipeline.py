@@ -40,6 +40,9 @@ def corpus():
     rows += [(1020 + k, f"{speak(40)} {passage} {speak(20)}") for k in range(5)]
     rows += [(1030, f"{speak(20)} {item} {speak(20)}"), (1031, f"{speak(900)} {' '.join(item.split()[:13])}"), (1032, item)]
     rows += [(1040, None), (1041, ""), (1042, " \n")]
+    # Replacement characters of the input stay where a repeated passage (whose ends cut characters) goes.
+    shared = "é" * 150
+    rows += [(1050, f"a\ufffdb {shared} \ufffd c {speak(3)}"), (1051, f"{speak(30)} \ufffd {shared[:120]} d"), (1052, f"ç{shared}")]
     full = [(i, t, "xx", "s", None if t is None else len(t)) for i, t in rows]
     return full, labels, [(1, item), (2, None)]
 
@@ -148,6 +151,13 @@ def test_rows_with_one_id_are_told_apart(spark, folder):
     assert got == ["", "", "a b c d e f", "other words are here now"]
 
 
+def test_a_repeated_id_does_not_change_what_other_groups_keep(spark, folder):
+    rows = [(9, "g h i j k l"), (4, "g h i j k l"), (7, "g h i j k l"), (None, "m n o p q r"), (30, "m n o p q r"), (5, "one"), (5, "two")]
+    docs = spark.createDataFrame([(i, t, "x", "y", 0) for i, t in rows], SHAPE).repartition(4)
+    got = corpus_pipeline.keep_one_of_each_group(spark, docs, folder).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == [(4, "g h i j k l"), (5, "one"), (5, "two"), (30, "m n o p q r")]
+
+
 def test_empty_tables(spark, folder):
     for name, shape in (("documents", SHAPE), ("labels", "doc_id bigint, quality int, toxic int"), ("benchmark", "item_id bigint, text string")):
         spark.createDataFrame([], shape).write.parquet(f"{folder}/{name}.parquet")
@@ -157,6 +167,6 @@ def test_empty_tables(spark, folder):
 @pytest.mark.skipif(not os.path.isdir(SF), reason="needs the synthetic tables")
 def test_registered(spark):
     queries = __spark_entry__.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries if q.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in queries if q.startswith("op")}
     assert queries["pipeline"] is corpus_pipeline.run
     assert corpus_pipeline.run(spark, SF).count() > 0
