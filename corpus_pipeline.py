@@ -24,15 +24,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The document with the smallest id of each group of near copies: five-word shingles, 80 % Jaccard.
 
-    Documents without words all stay. Where ids repeat or are null, rows are told apart by their place.
+    Documents without words all stay. Of documents with one id, the first row stays; a null id comes after all others.
     """
-    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or doc_id is null")
-    key, columns = "doc_id", docs.columns
-    if not repeated.isEmpty():
-        key, docs = _ROW, kept(docs.withColumn(_ROW, F.monotonically_increasing_id()), "pipeline-rows")
-    groups = ngram_join.jaccard_groups(docs, n=5, percent=80, key=key)
-    others = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(key))
-    return docs.join(others, key, "left_anti").select(*columns)
+    rows = kept(docs.withColumn(_ROW, F.monotonically_increasing_id()), "pipeline-rows")
+    groups = ngram_join.jaccard_groups(rows, n=5, percent=80, key=_ROW).withColumnRenamed("doc_id", _ROW)
+    members = kept(groups.join(rows.select(_ROW, "doc_id"), _ROW), "pipeline-groups")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", _ROW)).alias("first")
+    keepers = members.groupBy("component_id").agg(first).select(F.col(f"first.{_ROW}").alias(_ROW))
+    others = members.select(_ROW).join(keepers, _ROW, "left_anti")
+    return rows.join(others, _ROW, "left_anti").select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -41,8 +41,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     All documents stay, an entirely repeated one with an empty text. ``n_chars`` is that of the new text.
     """
     found = suffix_dedup.remove_repeats(docs)
-    left = F.replace(F.make_valid_utf8(F.col("kept_bytes").cast("string")), F.lit("�"), F.lit(""))
-    cut = found.withColumn("text", F.when(F.col("n_removed") > 0, left).otherwise(F.col("text")))
+    cut = found.withColumn("text", F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         chars = F.when(F.col("n_removed") > 0, F.char_length("text").cast(kind)).otherwise(F.col("n_chars"))
