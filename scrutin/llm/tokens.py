@@ -9,6 +9,8 @@ the library whole.
 from __future__ import annotations
 
 import os
+import sys
+from array import array
 from collections.abc import Callable
 
 import numpy as np
@@ -23,9 +25,18 @@ _CONTROLS = "\x1c\x1d\x1e\x1f"
 #: Byte-level vocabularies write bytes that do not print as the characters from 256 on, in order.
 _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_NAMES = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - _PRINTED))}
+_SPACE = chr(_BYTE_NAMES[32])
 _encoders: dict[str, Encoder] = {}
 
 
+def packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    found = array("I", ids)
+    if found.itemsize != 4 or sys.byteorder != "little":
+        return np.array(ids, dtype="<u4").tobytes()
+    return found.tobytes()
+
+
 class Unsure(Exception):
     """The part does not stand for itself."""
 
@@ -42,8 +53,9 @@ class _Parts(dict):
         if len(self) >= KEPT_PARTS:
             self.older = dict(self)
             self.clear()
-        if part in self.older:
-            self[part] = found = self.older[part]
+        found = self.older.get(part)
+        if found is not None:
+            self[part] = found
             return found
         # A pre-token never holds both a letter or digit and the punctuation after it. (Letters beyond
         # Latin-1 may become a letter and a mark when a tokenizer normalises them.)
@@ -73,15 +85,20 @@ class Encoder:
         self.parts = self.first if self.drops_space else _Parts(self._spaced, self.first)
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
+        return packed(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
 
     def _letters(self, part: str, space: str = "") -> bytes:
         """A part; letters up to Latin-1 are one pre-token, which is the model's alone."""
-        if not part.isalpha() or max(part) > "\u00ff":
+        if not part.isalpha():
             return self.whole(space + part)
-        part = space + (part.lower() if self.lowers else part)
-        named = part.encode().decode("latin-1").translate(_BYTE_NAMES)
-        return np.array([t.id for t in self.model.tokenize(named)], dtype="<u4").tobytes()
+        if part.isascii():
+            # ASCII letters are written as themselves.
+            named = (_SPACE if space else "") + (part.lower() if self.lowers else part)
+        elif max(part) > "\u00ff":
+            return self.whole(space + part)
+        else:
+            named = (space + (part.lower() if self.lowers else part)).encode().decode("latin-1").translate(_BYTE_NAMES)
+        return packed([t.id for t in self.model.tokenize(named)])
 
     def _spaced(self, part: str) -> bytes:
         """A part that follows a space, or begins with the line feed before it."""
