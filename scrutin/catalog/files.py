@@ -16,11 +16,11 @@ from scrutin.plans.star import read_flat
 from scrutin.scratch import new_path
 from scrutin.sinks.files import write_delimited, write_flat, write_periods
 from scrutin.sources import lines as text
+from scrutin.sources.records import records
 from scrutin.sources.tables import (
     read_keys,
     read_objects,
     read_periods,
-    read_quoted_multiline,
     read_table,
 )
 
@@ -137,7 +137,7 @@ def quoted_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
     path = new_path(spark, "quoted")
     write_delimited(people, path)
-    rows = text.quoted(text.without_header(text.read_lines(spark, path, "utf-8")), 6)
+    rows = text.quoted(text.without_header(records(text.read_lines(spark, path, "utf-8"))), 6)
     return rows.select(
         F.col("present").cast("bigint").alias("present"),
         *fields_at("fields", {"id": 0, "name": 1, "segment": 2, "nation": 3, "beyond": 5}),
@@ -152,13 +152,19 @@ from customer
 """
 
 
+#: Bytes of a file block of the quoted texts: small, so that records cross blocks at every scale.
+MULTILINE_BLOCK = 256 << 10
+
+
 def quoted_multiline(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole texts with their line breaks as quoted fields, read by one task per file block."""
     documents = table(spark, folder, "documents").select(
         F.col("doc_id").cast("string").alias("id"), "text", "lang"
     )
     path = new_path(spark, "multiline")
     write_delimited(documents, path)
-    rows = read_quoted_multiline(spark, path, 3)
+    lines = records(text.read_lines(spark, path, "utf-8", MULTILINE_BLOCK))
+    rows = text.quoted(text.without_header(lines), 3)
     return rows.select(
         F.col("present").cast("bigint").alias("present"),
         F.get("fields", F.lit(0)).cast("bigint").alias("doc_id"),

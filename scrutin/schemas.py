@@ -122,8 +122,3 @@ MISSING_FIELDS = (
     "nan",
     "null",
 )
-
-
-def text_schema(names: list[str] | tuple[str, ...]) -> T.StructType:
-    """A schema holding every named column as text."""
-    return T.StructType([T.StructField(name, T.StringType()) for name in names])

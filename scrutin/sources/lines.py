@@ -246,21 +246,13 @@ def quoted(
     """Lines of quoted fields as an array of ``columns`` texts.
 
     Short lines are padded with nulls and long ones cut; ``present`` is the number of fields the
-    line really has. A line that ends inside quotes is refused, because its record goes on in the
-    next line: such files need ``read_quoted_multiline``.
+    line really has. A line must hold a whole record: ``records`` joins those with line breaks.
     """
     names = [f"c{i}" for i in range(columns)]
     schema = ", ".join(f"{n} string" for n in names)
     options = {"sep": sep, "quote": quote, "escape": quote}
     return (
         lines.filter(is_filled(LINE))
-        .withColumn(
-            LINE,
-            F.when(
-                is_cut(F.col(LINE), sep, quote),
-                F.raise_error(F.concat(F.lit("line break inside quotes, read with multi_line: "), F.col(LINE))),
-            ).otherwise(F.col(LINE)),
-        )
         .withColumn("__record", F.from_csv(LINE, schema, options))
         .withColumn(present, F.least(field_count(F.col(LINE), sep, quote), F.lit(columns)))
         .withColumn(fields, F.array(*[F.col(f"__record.{n}") for n in names]))

@@ -157,12 +157,12 @@ def block_2026(nom, nuance, abbr, full, voix):
     return ["1", nom, "Jean", "M", nuance, abbr, full, str(voix), "", "", "", "", ""]
 
 
-@pytest.mark.parametrize("multi_line", [False, True])
-def test_2026_quotes_slots_and_short_rows(spark, folder, multi_line):
+@pytest.mark.parametrize("breaks", [False, True])
+def test_2026_quotes_slots_and_short_rows(spark, folder, breaks):
     head = ";".join(f"h{i}" for i in range(19 + 2 * 13))
     one = block_2026(' "A;""B""" '.strip(), "ldvd", "ABR", " ", 30)
     two = block_2026("MARTIN", "", "", "Full", 25)
-    label = '"Amb\nérieu"' if multi_line else "Ambérieu"
+    label = '"Amb\nérieu"' if breaks else "Ambérieu"
     t1 = "\n".join(
         [
             head,
@@ -174,7 +174,7 @@ def test_2026_quotes_slots_and_short_rows(spark, folder, multi_line):
     )
     names = E.source_of(2026).files
     paths = [save(folder, n, t, "utf-8") for n, t in zip(names, (t1, head + "\n"))]
-    ballots = E.ballots_2026(spark, paths, multi_line=multi_line)
+    ballots = E.ballots_2026(spark, paths)
     got = rows(E.finalize(ballots).select("code_commune", "libelle_commune", "code_nuance", "nom", "liste", "voix"))
     name = label.strip('"')
     assert got == sorted(
@@ -239,25 +239,22 @@ def file_2026(slots, *lines):
     return "\n".join([";".join(["h"] * (19 + slots * 13)), *lines]) + "\n"
 
 
-@pytest.mark.parametrize("multi_line", [False, True])
-def test_2026_stray_quotes_and_headers_of_their_own(spark, folder, multi_line):
+def test_2026_stray_quotes_and_headers_of_their_own(spark, folder):
     one, two, three = (block_2026(n, "X", "A", "L", 5) for n in ('D"A', 'B"X', "C"))
     texts = {
         "a.csv": file_2026(1, line_2026("1004", "Amb", [one, two])),
         "b.csv": file_2026(2, line_2026("1005", "Amb", [one, two, three])),
     }
-    got = ballots_of(spark, folder, texts, multi_line=multi_line).select("code_commune", "nom")
+    got = ballots_of(spark, folder, texts).select("code_commune", "nom")
     assert rows(got) == [("01004", 'D"A'), ("01005", 'B"X'), ("01005", 'D"A')]
 
 
-def test_2026_cut_records_are_read_or_refused(spark, folder):
+def test_2026_line_breaks_in_quotes_need_no_flag(spark, folder):
     texts = {"a.csv": file_2026(1, line_2026("1004", '"Amb\n00100;x"', [block_2026("DUPONT", "X", "A", "L", 5)]))}
-    with pytest.raises(Exception, match="multi_line"):
-        ballots_of(spark, folder, texts).collect()
     names = E.source_of(2026).files
     for name in names:
         save(folder, name, texts["a.csv"], "utf-8")
-    built = E.build_flat(spark, folder, "2026", multi_line=True)
+    built = E.build_flat(spark, folder, "2026")
     assert rows(built.table.select("tour", "code_commune", "libelle_commune")) == [
         (1, "01004", "Amb\n00100;x"), (2, "01004", "Amb\n00100;x")
     ]
