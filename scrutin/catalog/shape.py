@@ -14,8 +14,18 @@ from scrutin.operators.periods import present_in_all
 from scrutin.operators.project import Patch, conform, fields_at, patch_cells, stack, with_unknown_member
 from scrutin.operators.reshape import MappedColumn
 from scrutin.operators.rollup import rollup_units, spread_max
-from scrutin.plans.indicators import clean_mapping, removed_counts, reshape_table
+from scrutin.plans.indicators import (
+    Reshape,
+    clean_mapping,
+    removed_counts,
+    reshape_files,
+    reshape_table,
+    write_reshape,
+)
+from scrutin.scratch import new_path
+from scrutin.sinks.files import write_delimited
 from scrutin.sources.lines import delimited
+from scrutin.sources.tables import read_table
 
 # --- rollups -----------------------------------------------------------------------------------
 
@@ -308,22 +318,36 @@ def _hundredths(column: str):
     return F.rint(F.col(column) * 100).cast("bigint").alias(column)
 
 
-def wide_volume(spark: SparkSession, folder: str) -> DataFrame:
-    volume = [m for m in _WIDE_MAPPING if m.table == "demo/volume"]
-    built = reshape_table(_wide(spark, folder), volume, ordered=False)
-    return built.tables["demo_volume"].select(
-        "CODGEO", "annee", _hundredths("quantity"), _hundredths("tax")
-    )
+_TOPICS = {"demo_volume": ("quantity", "tax"), "demo_state": ("flag",)}
+
+
+def _all_topics(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows of all topic tables, under the name of their table."""
+    volume, state = tables["demo_volume"], tables["demo_state"]
+    volume = volume.withColumns({c: _hundredths(c) for c in ("quantity", "tax")})
+    named = [t.withColumn("topic", F.lit(n)) for n, t in (("demo_volume", volume), ("demo_state", state))]
+    return stack(named).select("topic", "CODGEO", "annee", "quantity", "tax", "flag")
 
 
-WIDE_VOLUME_SQL = """
+def wide_topics(spark: SparkSession, folder: str) -> DataFrame:
+    """All tables of the whole mapping, in their order."""
+    return _all_topics(reshape_table(_wide(spark, folder), _WIDE_MAPPING).tables)
+
+
+def _topics_sql(kept: str = "true") -> str:
+    return f"""
 with w as (
     select l_orderkey || '-' || l_linenumber as "CODGEO", cast(l_quantity as bigint) as q,
-           cast(round(l_tax * 100) as bigint) as t, l_linestatus from lineitem)
-select "CODGEO", cast(2011 as bigint) as annee, q * 100000 + 50 as quantity, cast(null as bigint) as tax
-from w
+           cast(round(l_tax * 100) as bigint) as t, l_linestatus, l_returnflag from lineitem),
+a as (select * from w where {kept})
+select 'demo_volume' as topic, "CODGEO", cast(2011 as bigint) as annee, q * 100000 + 50 as quantity,
+       cast(null as bigint) as tax, cast(null as varchar) as flag from a
+union all
+select 'demo_volume', "CODGEO", 2016, case when l_linestatus = 'O' then null else q * 100 end, t, null from a
 union all
-select "CODGEO", 2016, case when l_linestatus = 'O' then null else q * 100 end, t from w
+select 'demo_state', "CODGEO", 2011, null, null, l_returnflag from a
+union all
+select 'demo_state', "CODGEO", 2016, null, null, l_linestatus from a
 """
 
 
@@ -390,6 +414,58 @@ union all
 select 'keys', count(*), count(*) filter (where key not in (select key from w where l_quantity > 25)) from w
 """
 
+# --- the job from files to files ----------------------------------------------------------------
+
+
+def _reshaped(spark: SparkSession, folder: str) -> tuple[Reshape, str]:
+    """The wide table, its mapping, dictionary and allowed keys as files; the topic tables written below a folder."""
+    base = new_path(spark, "reshape")
+    write_delimited(_wide(spark, folder), f"{base}/raw.csv")
+    kinds = {True: "num", False: " char"}
+    rows = [(f" {m.source}", m.table, m.metric, kinds[m.numeric], f"{m.period}.0") for m in _WIDE_MAPPING]
+    rows += [("P16_TAX", "demo/volume", "tax", "num", "soon"), (None, "demo/volume", "tax", "num", "2016")]
+    names = "source_code string, target_table string, canonical_metric string, data_type string, available_years string"
+    write_delimited(spark.createDataFrame(rows, names).coalesce(1), f"{base}/mapping.csv")
+    write_delimited(spark.createDataFrame([("P11_QTY",), ("P16_QTY",), ("C11_FLAG",)], "COD_VAR string"), f"{base}/meta.csv")
+    allowed = _allowed_keys(spark, folder).withColumnRenamed("CODGEO", "code_commune")
+    write_delimited(allowed, f"{base}/geo.csv")
+    built = reshape_files(spark, *[f"{base}/{n}.csv" for n in ("raw", "mapping", "meta", "geo")])
+    write_reshape(built, f"{base}/topics")
+    return built, f"{base}/topics"
+
+
+def reshape_job(spark: SparkSession, folder: str) -> DataFrame:
+    """Every topic table of the job, read back from its files."""
+    built, path = _reshaped(spark, folder)
+    if built.missing_in_raw != ["C16_ABSENT"] or built.missing_in_meta != ["C16_FLAG", "P16_TAX"]:
+        raise AssertionError(f"unmatched codes: {built.missing_in_raw}, {built.missing_in_meta}")
+    back = {n: read_table(spark, f"{path}/{n}.csv") for n in built.tables}
+    typed = {
+        n: t.select("CODGEO", F.col("annee").cast("bigint"), *[F.col(c).cast("double") if n == "demo_volume" else F.col(c) for c in _TOPICS[n]])
+        for n, t in back.items()
+    }
+    return _all_topics(typed)
+
+
+def reshape_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows in, out and removed per step of the job, counted in its own passes."""
+    return _reshaped(spark, folder)[0].counts.report(spark)
+
+
+RESHAPE_COUNTS_SQL = """
+with w as (select l_orderkey || '-' || l_linenumber as key, l_quantity from lineitem),
+k as (select count(*) as n, count(*) filter (where key in (select key from w where l_quantity > 25)) as kept from w)
+select 'mapping' as part, 'usable' as step, cast(8 as bigint) as rows_in, cast(6 as bigint) as rows_out, cast(2 as bigint) as removed
+union all
+select 'wide', 'allowed keys', n, kept, n - kept from k
+union all
+select 'wide', 'read', null, kept, null from k
+union all
+select 'table', 'demo/state', null, 2 * kept, null from k
+union all
+select 'table', 'demo/volume', null, 2 * kept, null from k
+"""
+
 QUERIES = {
     "q_rollup_units": (rollup, _rollup_sql(FLAT_SQL)),
     "q_rollup_no_unit": (rollup_no_unit, ROLLUP_NO_UNIT_SQL),
@@ -405,8 +481,10 @@ QUERIES = {
     "q_blocks_fixed": (blocks_fixed, BLOCKS_FIXED_SQL),
     "q_patch_cells": (patched, PATCHED_SQL),
     "q_conform": (conformed, CONFORMED_SQL),
-    "q_wide_to_long": (wide_volume, WIDE_VOLUME_SQL),
+    "q_wide_to_long": (wide_topics, _topics_sql()),
     "q_wide_to_long_filtered": (wide_state, WIDE_STATE_SQL),
     "q_mapping_clean": (mapping_clean, MAPPING_CLEAN_SQL),
     "q_removed_counts": (removed, REMOVED_SQL),
+    "q_reshape_files": (reshape_job, _topics_sql('"CODGEO" in (select "CODGEO" from w where q > 25)')),
+    "q_reshape_counts": (reshape_counts, RESHAPE_COUNTS_SQL),
 }

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrutin.operators.lookup import HOT_ROWS, lookup
+from scrutin.scratch import staged
 
 WEIGHT = "__rows"
 
@@ -16,22 +17,44 @@ def _rows() -> list:
     return [F.count(F.lit(1)).alias(WEIGHT)]
 
 
-def unit_totals(
-    df: DataFrame, keys: Sequence[str], measures: Sequence[str], unit: str | None
-) -> DataFrame:
-    """Totals per key of measures that are repeated on every detail row of a unit.
-
-    With a unit, each measure counts once per unit (its maximum) and the units are added up; a
-    key without any value totals 0. Without a unit, the maximum per key is taken. The column
-    ``__rows`` counts the rows below each key.
+def grains(
+    df: DataFrame,
+    keys: Sequence[str],
+    measures: Sequence[str],
+    detail: Sequence[str],
+    votes: str,
+    unit: str | None,
+) -> tuple[DataFrame, DataFrame]:
+    """Totals per key of measures that are repeated on every detail row of a unit, and votes per key and detail.
+
+    With a unit, each measure counts once per unit (its maximum) and the units are added up; a key without
+    any value totals 0. Without a unit, the maximum per key is taken. The totals' column ``__rows`` counts the
+    rows below each key. Both come from one pass over ``df``:
+    each row is sent to both grains, whose partial results share a shuffle. The aggregated grains, smaller
+    than the rows, are written to the shared folder once.
     """
-    if unit is None:
-        return df.groupBy(*keys).agg(*[F.max(m).alias(m) for m in measures], *_rows())
-    per_unit = df.groupBy(*keys, unit).agg(*[F.max(m).alias(m) for m in measures], *_rows())
-    return per_unit.groupBy(*keys).agg(
-        *[F.coalesce(F.sum(m), F.lit(0)).cast("bigint").alias(m) for m in measures],
-        F.sum(WEIGHT).alias(WEIGHT),
+    names = [*([unit] if unit else []), *detail, *measures, votes]
+    types = dict(df.dtypes)
+
+    def side(grain: int, held: Sequence[str]) -> Column:
+        cells = [(F.col(c) if c in held else F.lit(None)).cast(types[c]).alias(f"__{c}") for c in names]
+        return F.struct(F.lit(grain).cast("tinyint").alias("__grain"), *cells)
+
+    totals_of, votes_of = side(0, [*([unit] if unit else []), *measures]), side(1, [*detail, votes])
+    both = df.select(*keys, F.inline(F.array(totals_of, votes_of)))
+    apart = [f"__{c}" for c in names if c not in (*measures, votes)]
+    found = both.groupBy(*keys, "__grain", *apart).agg(
+        *[F.max(f"__{m}").alias(m) for m in measures], F.sum(f"__{votes}").alias(votes), *_rows()
     )
+    found = staged(found, "grains")
+    units = found.filter("__grain = 0").select(*keys, *measures, WEIGHT)
+    if unit is not None:
+        units = units.groupBy(*keys).agg(
+            *[F.coalesce(F.sum(m), F.lit(0)).cast("bigint").alias(m) for m in measures],
+            F.sum(WEIGHT).alias(WEIGHT),
+        )
+    scores = found.filter("__grain = 1").select(*keys, *[F.col(f"__{c}").alias(c) for c in detail], votes)
+    return units, scores
 
 
 def rollup_units(
@@ -47,8 +70,7 @@ def rollup_units(
 
     Keys are compared null-safely, both when grouping and when joining the totals.
     """
-    totals = unit_totals(df, keys, measures, unit)
-    scores = df.groupBy(*keys, *detail).agg(F.sum(votes).alias(votes))
+    totals, scores = grains(df, keys, measures, detail, votes, unit)
     return lookup(scores, totals, keys, weight=WEIGHT, hot_rows=hot_rows)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from scrutin.functions.numbers import lenient_double
 from scrutin.functions.text import stripped, stripped_upper
+from scrutin.operators.counting import Counts, counted
 from scrutin.operators.keys import stable_order
 from scrutin.operators.lookup import count_missing, semi
 from scrutin.operators.reshape import MappedColumn, by_table, file_safe, wide_to_long
@@ -65,11 +66,11 @@ def collect_mapping(mapping: DataFrame) -> list[MappedColumn]:
 
 
 def read_mapping(
-    spark: SparkSession, path: str, sep: str = ";", encoding: str = "utf-8"
+    spark: SparkSession, path: str, sep: str = ";", encoding: str = "utf-8", counts: Counts | None = None
 ) -> DataFrame:
     """The mapping file, cleaned, with the position of its rows."""
-    raw = read_table(spark, path, sep, encoding)
-    return clean_mapping(raw.withColumn("position", F.monotonically_increasing_id()))
+    raw = read_table(spark, path, sep, encoding).withColumn("position", F.monotonically_increasing_id())
+    return counted(counts, raw, "mapping", "usable", clean_mapping)
 
 
 @dataclass(frozen=True)
@@ -77,6 +78,8 @@ class Reshape:
     """The topic tables, and the source codes that could not be matched."""
 
     tables: dict[str, DataFrame]
+    #: Rows of each step; complete once all tables have been written.
+    counts: Counts = field(default_factory=Counts)
     missing_in_raw: list[str] = field(default_factory=list)
     missing_in_meta: list[str] = field(default_factory=list)
 
@@ -90,12 +93,13 @@ def reshape_table(
     limit: int | None = None,
     sanitize: bool = True,
     ordered: bool = True,
+    counts: Counts | None = None,
 ) -> Reshape:
     """Topic tables of a wide table.
 
     Only the key and the mapped columns are read. ``allowed`` restricts the keys. The pruned and
-    filtered input of several tables is written to the shared folder once, so that the wide source
-    is parsed a single time.
+    filtered input is written to the shared folder once, so that the wide source is parsed, and its rows are
+    counted, a single time; one table alone is not staged unless ``counts`` are asked for.
     """
     if key not in raw.columns:
         raise ValueError(f"wide table lacks {key}")
@@ -110,16 +114,19 @@ def reshape_table(
     if limit is not None:
         rows = rows.limit(limit)
     if allowed is not None:
-        rows = semi(rows, allowed, [key])
-    if len(topics) > 1:
-        rows = staged(rows, "wide")
+        rows = counted(counts, rows, "wide", "allowed keys", lambda rows: semi(rows, allowed, [key]))
+    if len(topics) > 1 or counts is not None:
+        rows = staged(rows if counts is None else counts.leaving(rows, "wide", "read"), "wide")
     tables = {}
     for name, columns_of in topics.items():
         table = wide_to_long(rows, key, period, columns_of)
         if ordered:
             table = stable_order(table, [key, period])
+        if counts is not None:
+            # Above the sort, whose sample would be counted too.
+            table = counts.leaving(table, "table", name)
         tables[file_safe(name) if sanitize else name] = table
-    return Reshape(tables, missing)
+    return Reshape(tables, counts or Counts(), missing)
 
 
 def reshape_files(
@@ -135,7 +142,8 @@ def reshape_files(
     ordered: bool = True,
 ) -> Reshape:
     """Topic tables from files: wide data, mapping, optional dictionary and allowed communes."""
-    mapping = collect_mapping(read_mapping(spark, mapping_path, sep, encoding))
+    counts = Counts()
+    mapping = collect_mapping(read_mapping(spark, mapping_path, sep, encoding, counts))
     header = header_names(spark, raw_path, sep, encoding)
     if GEO_CODE not in header:
         raise ValueError(f"{raw_path} lacks {GEO_CODE}")
@@ -147,13 +155,15 @@ def reshape_files(
         allowed = read_keys(spark, geo_path, "code_commune", sep, encoding).withColumnRenamed(
             "code_commune", GEO_CODE
         )
-    built = reshape_table(raw, mapping, allowed=allowed, limit=limit, sanitize=sanitize, ordered=ordered)
+    built = reshape_table(
+        raw, mapping, allowed=allowed, limit=limit, sanitize=sanitize, ordered=ordered, counts=counts
+    )
     unknown: list[str] = []
     if meta_path is not None:
         meta = read_table(spark, meta_path, sep, encoding)
         if META_CODE in meta.columns:
             unknown = missing_codes(spark, sorted(codes & set(header)), meta, META_CODE)
-    return Reshape(built.tables, built.missing_in_raw, unknown)
+    return Reshape(built.tables, counts, built.missing_in_raw, unknown)
 
 
 def removed_counts(raw_mapping: DataFrame, rows: DataFrame, allowed: DataFrame, key: str = GEO_CODE) -> DataFrame:

@@ -38,11 +38,11 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as parquet and read back, for tables with several consumers."""
+def staged(df: DataFrame, name: str, home: SparkSession | None = None) -> DataFrame:
+    """``df`` written once as parquet and read back (by the session ``home``), for tables with several consumers."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return (home or df.sparkSession).read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:
