@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scrutin.catalog.views import BALLOTS_SQL, ballots, table
+from scrutin.operators.integrity import Reference, Unique
 from scrutin.operators.rules import (
-    count_dangling,
-    count_duplicates,
+    count_keys,
     count_label_variants,
     count_violations,
     flat_rules,
@@ -98,19 +98,15 @@ REPORT_SQL = (
 
 
 def dangling(spark: SparkSession, folder: str) -> DataFrame:
-    lines = table(spark, folder, "lineitem")
-    orders = table(spark, folder, "orders")
-    return reduce(
-        DataFrame.unionByName,
-        [
-            count_dangling(orders, "o_orderkey", lines.select("l_orderkey").distinct(), "orders", "l_orderkey"),
-            count_dangling(lines, "l_orderkey", orders, "lineitem", "o_orderkey"),
-            count_dangling(
-                lines.withColumn("l_suppkey", F.nullif(F.col("l_suppkey"), F.lit(7))),
-                "l_suppkey", table(spark, folder, "supplier"), "lineitem", "s_suppkey",
-            ),
-        ],
-    )
+    """References of two tables, in one pass over the bits of their keys."""
+    lines, orders, supplier = (table(spark, folder, n) for n in ("lineitem", "orders", "supplier"))
+    without = lines.withColumn("l_suppkey", F.nullif(F.col("l_suppkey"), F.lit(7)))
+    references = [
+        Reference(orders, "o_orderkey", lines, "orders", "l_orderkey"),
+        Reference(lines, "l_orderkey", orders, "lineitem", "o_orderkey"),
+        Reference(without, "l_suppkey", supplier, "lineitem", "s_suppkey"),
+    ]
+    return count_keys([], references)
 
 
 DANGLING_SQL = """
@@ -125,14 +121,9 @@ select 'l_suppkey has no match', 'lineitem', count(*) from lineitem where l_supp
 
 
 def grain(spark: SparkSession, folder: str) -> DataFrame:
-    lines = table(spark, folder, "lineitem")
-    return reduce(
-        DataFrame.unionByName,
-        [
-            count_duplicates(lines, ["l_orderkey", "l_linenumber"], "lineitem"),
-            count_duplicates(table(spark, folder, "orders"), ["o_orderkey"], "orders"),
-        ],
-    )
+    """Keys of two tables, in one shuffle of their hashes."""
+    lines, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
+    return count_keys([Unique(lines, ("l_orderkey", "l_linenumber"), "lineitem"), Unique(orders, ("o_orderkey",), "orders")])
 
 
 GRAIN_SQL = """

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scrutin.operators.integrity import require_unique
+
 # A key with this many rows is answered from a broadcast table instead of a shuffle. With N rows
 # in total there are at most N / HOT_ROWS such keys, which bounds the broadcast: 10^12 rows give
 # at most 100,000 entries.
@@ -44,15 +46,21 @@ def lookup(
     null_safe: bool = True,
     right_rows: int | None = None,
     hot_rows: int = HOT_ROWS,
+    checked: str | None = None,
 ) -> DataFrame:
     """Left join of ``left`` to ``right``, which holds at most one row per key.
 
+    A table that comes out of an aggregate on the keys does; ``checked`` has any other one checked first, and names
+    it in the ``ValueError`` that a repeated key raises.
+
     ``null_safe`` makes a null key match a null key. ``weight`` names a column of ``right`` that
     counts the rows of each key on the left (or an upper bound of it); keys that reach
     ``hot_rows`` are joined by broadcast, the others by shuffle, so that no task receives a hot
     key. ``right_rows`` is the known size of ``right``; a small one is broadcast whole.
     The weight column is not part of the result.
     """
+    if checked is not None:
+        require_unique(right, keys, checked)
     values = [c for c in right.columns if c not in keys and c != weight]
     out = [*left.columns, *values]
     renamed = right.select(

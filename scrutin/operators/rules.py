@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrutin.functions.codes import is_overseas
+from scrutin.operators.integrity import Reference, Unique, dangling, repeats
 from scrutin.operators.lookup import count_missing
 from scrutin.schemas import REQUIRED
 
@@ -112,18 +113,21 @@ def _line(counted: DataFrame, rule: str, table: str) -> DataFrame:
     )
 
 
-def count_duplicates(df: DataFrame, keys: Sequence[str], table: str) -> DataFrame:
-    """One report row: how many values of ``keys`` occur more than once."""
-    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1)
-    counted = repeated.agg(F.count(F.lit(1)).alias("violations"))
-    return _line(counted, f"({', '.join(keys)}) is not unique", table)
+def count_keys(uniques: Sequence[Unique], references: Sequence[Reference] = ()) -> DataFrame:
+    """One report row per rule: repeated keys of all tables, and rows whose foreign key is null or unknown.
 
-
-def count_dangling(
-    df: DataFrame, key: str, dimension: DataFrame, table: str, dimension_key: str | None = None
-) -> DataFrame:
-    """One report row: rows whose foreign key, null included, is not in the dimension."""
-    return _line(count_missing(df, dimension, key, dimension_key), f"{key} has no match", table)
+    The rules of a kind share one shuffle (see :mod:`scrutin.operators.integrity`); references by other keys than
+    whole numbers are counted per key before an anti join.
+    """
+    spark = (uniques[0] if uniques else references[0]).frame.sparkSession
+    lines = [(u.rule, u.table, n) for u, n in zip(uniques, repeats(uniques) if uniques else [], strict=True)]
+    whole = [r for r in references if r.whole]
+    found = dict(zip(map(id, whole), dangling(whole) if whole else [], strict=True))
+    for r in references:
+        if id(r) not in found:
+            found[id(r)] = count_missing(r.frame, r.dimension, r.key, r.dimension_key).first()["violations"]
+        lines.append((r.rule, r.table, found[id(r)]))
+    return spark.createDataFrame(lines, REPORT)
 
 
 def count_label_variants(
@@ -157,8 +161,3 @@ def require_columns(df: DataFrame, columns: Sequence[str], what: str) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(f"{what} lacks columns: {', '.join(missing)}")
-
-
-def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
-    """Fail when a lookup table holds a key twice (a many-to-one join would multiply rows)."""
-    assert_valid(count_duplicates(df, keys, what))

@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 
 from scrutin.functions.codes import candidate_of, election_of, star_commune_of
 from scrutin.functions.text import stripped
+from scrutin.operators.integrity import Reference, Unique
 from scrutin.operators.keys import dense_id, first_per_key
 from scrutin.operators.lookup import HOT_ROWS, lookup
 from scrutin.operators.project import parse_longs, with_unknown_member
 from scrutin.operators.rules import (
     assert_valid,
-    count_dangling,
-    count_duplicates,
+    count_keys,
     count_violations,
     not_negative,
     require_columns,
@@ -258,19 +258,22 @@ def star_report(tables: Mapping[str, DataFrame]) -> DataFrame:
         tables["dim_candidat_liste"],
     )
     turnout, votes = tables["fact_participation"], tables["fact_resultats_liste"]
+    uniques = [
+        Unique(geo, ("geo_sk",), "dim_geographie"),
+        Unique(election, ("election_sk",), "dim_election"),
+        Unique(candidate, ("candidat_sk",), "dim_candidat_liste"),
+        Unique(turnout, ("election_sk", "geo_sk"), "fact_participation"),
+        Unique(votes, ("election_sk", "geo_sk", "candidat_sk"), "fact_resultats_liste"),
+    ]
+    references = [
+        Reference(turnout, "geo_sk", geo, "fact_participation"),
+        Reference(turnout, "election_sk", election, "fact_participation"),
+        Reference(votes, "geo_sk", geo, "fact_resultats_liste"),
+        Reference(votes, "election_sk", election, "fact_resultats_liste"),
+        Reference(votes, "candidat_sk", candidate, "fact_resultats_liste"),
+    ]
     lines = [
-        count_duplicates(geo, ["geo_sk"], "dim_geographie"),
-        count_duplicates(election, ["election_sk"], "dim_election"),
-        count_duplicates(candidate, ["candidat_sk"], "dim_candidat_liste"),
-        count_duplicates(turnout, ["election_sk", "geo_sk"], "fact_participation"),
-        count_duplicates(
-            votes, ["election_sk", "geo_sk", "candidat_sk"], "fact_resultats_liste"
-        ),
-        count_dangling(turnout, "geo_sk", geo, "fact_participation"),
-        count_dangling(turnout, "election_sk", election, "fact_participation"),
-        count_dangling(votes, "geo_sk", geo, "fact_resultats_liste"),
-        count_dangling(votes, "election_sk", election, "fact_resultats_liste"),
-        count_dangling(votes, "candidat_sk", candidate, "fact_resultats_liste"),
+        count_keys(uniques, references),
         count_violations(turnout, turnout_rules(), "fact_participation"),
         count_violations(votes, [not_negative(VOTES)], "fact_resultats_liste"),
     ]
