@@ -14,13 +14,13 @@ from scrutin.operators.project import fields_at
 from scrutin.plans.nuances import stage_nuances
 from scrutin.plans.star import read_flat
 from scrutin.scratch import new_path
-from scrutin.sinks.files import write_delimited, write_flat, write_periods
+from scrutin.sinks.files import write_delimited, write_flat
+from scrutin.sinks.versions import read_periods, write_periods
 from scrutin.sources import lines as text
 from scrutin.sources.records import records
 from scrutin.sources.tables import (
     read_keys,
     read_objects,
-    read_periods,
     read_table,
 )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -414,6 +414,36 @@ union all
 select 'keys', count(*), count(*) filter (where key not in (select key from w where l_quantity > 25)) from w
 """
 
+def _ordered(block_bytes: int):
+    """Topic rows of keys that repeat, numbered in the order of the written file."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        columns = ["l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax"]
+        lines, _ = dense_id(table(spark, folder, "lineitem").select(*columns), columns, "line")
+        base = new_path(spark, "ordered")
+        wide = lines.select((F.col("l_orderkey") % 500).cast("string").alias("CODGEO"), F.col("line").alias("P11"), (F.col("line") * 2).alias("P16"), "line")
+        write_delimited(wide.repartitionByRange("line").sortWithinPartitions("line").drop("line"), f"{base}/raw.csv")
+        mapping = [("P11", "t", "line", "NUM", "2011"), ("P16", "t", "line", "NUM", "2016")]
+        names = "source_code string, target_table string, canonical_metric string, data_type string, available_years string"
+        write_delimited(spark.createDataFrame(mapping, names), f"{base}/mapping.csv")
+        built = reshape_files(spark, f"{base}/raw.csv", f"{base}/mapping.csv", block_bytes=block_bytes)
+        write_reshape(built, f"{base}/topics")
+        back = read_table(spark, f"{base}/topics/t.csv", position="place", block_bytes=block_bytes)
+        nth = F.row_number().over(Window.partitionBy("CODGEO", "annee").orderBy("place")).cast("bigint")
+        return back.select("CODGEO", F.col("annee").cast("bigint"), nth.alias("nth"), F.col("line").cast("double").cast("bigint").alias("line"))
+
+    return run
+
+
+ORDERED_SQL = """
+with n as (
+    select l_orderkey % 500 as code, row_number() over (order by l_extendedprice, l_orderkey, l_linenumber, l_partkey,
+           l_suppkey, l_quantity, l_discount, l_tax) as line from lineitem),
+pairs as (select code, 2011 as annee, line from n union all select code, 2016, line * 2 from n)
+select cast(code as varchar) as "CODGEO", cast(annee as bigint) as annee,
+       row_number() over (partition by code, annee order by line) as nth, line from pairs
+"""
+
 # --- the job from files to files ----------------------------------------------------------------
 
 
@@ -485,6 +515,8 @@ QUERIES = {
     "q_wide_to_long_filtered": (wide_state, WIDE_STATE_SQL),
     "q_mapping_clean": (mapping_clean, MAPPING_CLEAN_SQL),
     "q_removed_counts": (removed, REMOVED_SQL),
+    "q_stable_order": (_ordered(1 << 16), ORDERED_SQL),
+    "q_stable_order_large_blocks": (_ordered(1 << 22), ORDERED_SQL),
     "q_reshape_files": (reshape_job, _topics_sql('"CODGEO" in (select "CODGEO" from w where q > 25)')),
     "q_reshape_counts": (reshape_counts, RESHAPE_COUNTS_SQL),
 }

@@ -87,15 +87,10 @@ def dense_id(
     return numbered, start
 
 
-def stable_order(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Sort by ``keys``; rows with equal keys stay in the order in which this scan delivers them.
+def stable_order(df: DataFrame, keys: Sequence[str], position: str) -> DataFrame:
+    """Sort by ``keys``; rows with equal keys keep the order of ``position``, which is dropped.
 
-    That is the order of a file only as long as its rows have not been written to a stage or shuffled
-    before. The position is part of the range key, so a key with very many rows is still spread over
-    several tasks.
+    The position is that of a row in its source (see ``read_table``), so stages, shuffles and joins before do not
+    matter. It is part of the range key, so a key with very many rows is still spread over several tasks.
     """
-    return (
-        df.withColumn("__position", F.monotonically_increasing_id())
-        .orderBy(*nulls_last(keys), F.col("__position"))
-        .drop("__position")
-    )
+    return df.orderBy(*nulls_last(keys), F.col(position)).drop(position)

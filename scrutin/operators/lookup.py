@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrutin.operators.integrity import require_unique
+from scrutin.scratch import staged
+
+WEIGHT = "__rows"
 
 # A key with this many rows is answered from a broadcast table instead of a shuffle. With N rows
 # in total there are at most N / HOT_ROWS such keys, which bounds the broadcast: 10^12 rows give
@@ -19,6 +22,13 @@ HOT_ROWS = 10_000_000
 BROADCAST_ROWS = 100_000
 
 
+# Buckets of key hashes in which rows are counted to find the hot keys, at least.
+BUCKETS = 1 << 16
+
+# Bits of a key in the bitmap that a semi join broadcasts, and words of 64 bits of the bitmap at most (16 bytes each).
+BITS_PER_KEY = 16
+BITMAP_WORDS = 1 << 21
+
 # Shares that hot rows are spread over in the shuffle of the other rows.
 SPREAD = 1 << 20
 
@@ -56,7 +66,8 @@ def lookup(
     ``null_safe`` makes a null key match a null key. ``weight`` names a column of ``right`` that
     counts the rows of each key on the left (or an upper bound of it); keys that reach
     ``hot_rows`` are joined by broadcast, the others by shuffle, so that no task receives a hot
-    key. ``right_rows`` is the known size of ``right``; a small one is broadcast whole.
+    key. Without it the hot keys are found by :func:`heavy_keys`, which reads the keys of ``left`` once or
+    twice more. ``right_rows`` is the known size of ``right``; a small one is broadcast whole.
     The weight column is not part of the result.
     """
     if checked is not None:
@@ -69,7 +80,11 @@ def lookup(
     if right_rows is not None and right_rows <= BROADCAST_ROWS:
         return left.join(F.broadcast(renamed), _same_key(keys, _other, null_safe), "left").select(*out)
     if weight is None:
-        return left.join(renamed, _same_key(keys, _other, null_safe), "left").select(*out)
+        heavy = heavy_keys(left, keys, hot_rows)
+        if heavy is None:
+            return left.join(renamed, _same_key(keys, _other, null_safe), "left").select(*out)
+        weight = WEIGHT
+        renamed = _weighed(renamed, heavy, keys)
 
     hot = renamed.filter(F.col(weight) >= hot_rows).select(
         *[F.col(_other(k)).alias(_hot(k)) for k in keys],
@@ -92,9 +107,71 @@ def lookup(
     )
 
 
-def semi(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``left`` whose key is in ``right``. A null key never matches."""
-    return left.join(right.select(*keys).distinct(), list(keys), "left_semi")
+def _weighed(renamed: DataFrame, heavy: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The table with the column ``WEIGHT``: the rows of heavy keys, 0 for all others."""
+    told = heavy.select(*[F.col(k).alias(f"__heavy_{k}") for k in keys], F.col(WEIGHT).alias("__heavy"))
+    same = reduce(lambda a, b: a & b, [F.col(_other(k)).eqNullSafe(F.col(f"__heavy_{k}")) for k in keys])
+    joined = renamed.join(F.broadcast(told), same, "left")
+    return joined.select(*renamed.columns, F.coalesce("__heavy", F.lit(0)).alias(WEIGHT))
+
+
+def heavy_keys(df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS) -> DataFrame | None:
+    """The keys that hold ``rows`` rows or more, with ``__rows``, their number; None if there are none.
+
+    A count of rows by buckets of key hashes, which is small whatever the number of keys, tells the buckets that can
+    hold such a key. Only the keys of those are counted themselves, so the answer is exact. N rows have at
+    most N / ``rows`` such keys.
+    """
+    total = df.agg(F.count(F.lit(1))).first()[0]
+    if total < rows:
+        return None
+    # With more buckets than full ones, most buckets stay below the limit even when all keys are rare.
+    buckets = max(BUCKETS, 16 * total // rows)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("__bucket")
+    full = df.select(bucket).groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= rows)
+    full = staged(full.select("__bucket"), "full-buckets")
+    if full.isEmpty():
+        return None
+    among = df.select(*keys, bucket).join(F.broadcast(full), "__bucket", "left_semi")
+    heavy = among.groupBy(*keys).agg(F.count(F.lit(1)).alias(WEIGHT)).filter(F.col(WEIGHT) >= rows)
+    heavy = staged(heavy, "heavy-keys")
+    return None if heavy.isEmpty() else heavy
+
+
+def _place(keys: Sequence[str], words: int) -> tuple[Column, Column]:
+    """The word of a key's hash, and its two bits there."""
+    h = F.xxhash64(*keys)
+    bit = lambda by: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(h, by).bitwiseAND(F.lit(63)).cast("int"))
+    word = F.shiftrightunsigned(h, 16).bitwiseAND(F.lit(words - 1))
+    return word.alias("__word"), bit(0).bitwiseOR(bit(6))
+
+
+def _may_match(left: DataFrame, allowed: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:
+    """``left`` without rows whose key's bits are not all set; ``left`` itself where the bitmap would be too large."""
+    words = 1 << max(0, (n * BITS_PER_KEY // 64 - 1).bit_length())
+    if words > BITMAP_WORDS:
+        return left
+    word, bits = _place(keys, words)
+    bitmap = allowed.select(word, bits.alias("__bits")).groupBy("__word").agg(F.bit_or("__bits").alias("__bits"))
+    met = left.withColumn("__word", word).join(F.broadcast(bitmap), "__word")
+    return met.filter(F.col("__bits").bitwiseAND(bits) == bits).select(*left.columns)
+
+
+def semi(left: DataFrame, right: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Rows of ``left`` whose key is in ``right``. A null key never matches.
+
+    The distinct keys are written once. Few of them are broadcast. Of more, a bitmap of their hashes is (at most
+    32 MB), which takes out most other rows before they are shuffled; what passes is compared exactly, and hot keys
+    do not meet in one task.
+    """
+    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    allowed = staged(right.select(*keys).filter(present).distinct(), "allowed-keys")
+    n = allowed.count()
+    if n <= BROADCAST_ROWS:
+        return left.join(F.broadcast(allowed), list(keys), "left_semi")
+    rows = _may_match(left.filter(present), allowed, n, keys)
+    found = lookup(rows, allowed.withColumn("__found", F.lit(True)), keys, null_safe=False, hot_rows=hot_rows)
+    return found.filter("__found").select(*left.columns)
 
 
 def count_missing(left: DataFrame, right: DataFrame, key: str, right_key: str | None = None) -> DataFrame:

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scrutin.operators.lookup import HOT_ROWS, lookup
 
-MASK_PERIODS = 63  # periods that fit into the bits of a bigint
+WORD_PERIODS = 63  # periods that fit into the bits of a bigint
+MASK_PERIODS = 64 * WORD_PERIODS  # periods that are kept as bits
 
 
 def distinct_periods(df: DataFrame, period: str) -> DataFrame:
@@ -22,15 +24,22 @@ def period_counts(df: DataFrame, key: str, period: str, periods: Sequence | None
     wanted = F.col(period).isNotNull() if periods is None else F.col(period).isin(*periods)
     scoped = df.filter(F.col(key).isNotNull() & wanted)
     if periods is not None and len(periods) <= MASK_PERIODS:
-        # One bit per period: a single shuffle with one row per key and task.
-        bit = F.lit(None).cast("bigint")
-        for position, value in enumerate(periods):
-            mark = F.lit(1 << position).cast("bigint")
-            bit = F.when(F.col(period) == F.lit(value), mark).otherwise(bit)
-        return scoped.groupBy(key).agg(
-            F.bit_count(F.bit_or(bit)).cast("bigint").alias("periods"),
-            F.count(F.lit(1)).alias("rows"),
-        )
+        # One bit per period: a single shuffle with one row per key and task, however many words of bits.
+        if len(periods) <= WORD_PERIODS:
+            number = F.lit(None).cast("int")
+            for position, value in enumerate(periods):
+                number = F.when(F.col(period) == F.lit(value), F.lit(position)).otherwise(number)
+            numbered = scoped.select(key, number.alias("__number"))
+        else:
+            kind = scoped.schema[period].dataType.simpleString()
+            table = scoped.sparkSession.createDataFrame(list(enumerate(periods)), f"__number int, __period {kind}")
+            numbered = scoped.join(F.broadcast(table), F.col(period) == F.col("__period")).select(key, "__number")
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("__number") % WORD_PERIODS)
+        words = range(-(-len(periods) // WORD_PERIODS))
+        masks = [F.bit_or(F.when((F.col("__number") / WORD_PERIODS).cast("int") == w, bit)).alias(f"__w{w}") for w in words]
+        found = numbered.groupBy(key).agg(*masks, F.count(F.lit(1)).alias("rows"))
+        held = [F.coalesce(F.bit_count(f"__w{w}"), F.lit(0)).cast("bigint") for w in words]
+        return found.select(key, reduce(lambda a, b: a + b, held).alias("periods"), "rows")
     per_period = scoped.groupBy(key, period).agg(F.count(F.lit(1)).alias("rows"))
     return per_period.groupBy(key).agg(
         F.count(F.lit(1)).alias("periods"), F.sum("rows").alias("rows")

@@ -56,9 +56,9 @@ def _cell(row: MappedColumn | None, numeric: bool) -> Column:
 
 
 def wide_to_long(
-    df: DataFrame, key: str, period: str, rows: Sequence[MappedColumn]
+    df: DataFrame, key: str, period: str, rows: Sequence[MappedColumn], carried: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per key and period, one column per metric, from a single pass over ``df``.
+    """One row per key and period, one column per metric, from a single pass over ``df``; ``carried`` columns go along.
 
     Metrics are ordered by first appearance in the mapping; a metric that a period lacks is null.
     """
@@ -71,4 +71,4 @@ def wide_to_long(
         )
         for p in sorted({r.period for r in rows})
     ]
-    return df.select(F.col(quoted_name(key)).alias(key), F.inline(F.array(*structs)))
+    return df.select(F.col(quoted_name(key)).alias(key), *carried, F.inline(F.array(*structs)))

@@ -7,11 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrutin.operators.lookup import HOT_ROWS, lookup
+from scrutin.operators.lookup import HOT_ROWS, WEIGHT, lookup
 from scrutin.scratch import staged
 
-WEIGHT = "__rows"
-
 
 def _rows() -> list:
     return [F.count(F.lit(1)).alias(WEIGHT)]

@@ -21,6 +21,7 @@ from scrutin.sources.tables import header_names, read_keys, read_table
 
 # Fixed value: the data type whose metrics are parsed as numbers.
 NUMERIC = "NUM"
+POSITION = "__position"
 
 
 def clean_mapping(raw: DataFrame) -> DataFrame:
@@ -69,7 +70,7 @@ def read_mapping(
     spark: SparkSession, path: str, sep: str = ";", encoding: str = "utf-8", counts: Counts | None = None
 ) -> DataFrame:
     """The mapping file, cleaned, with the position of its rows."""
-    raw = read_table(spark, path, sep, encoding).withColumn("position", F.monotonically_increasing_id())
+    raw = read_table(spark, path, sep, encoding, position="position")
     return counted(counts, raw, "mapping", "usable", clean_mapping)
 
 
@@ -94,8 +95,12 @@ def reshape_table(
     sanitize: bool = True,
     ordered: bool = True,
     counts: Counts | None = None,
+    position: str | None = None,
 ) -> Reshape:
-    """Topic tables of a wide table.
+    """Topic tables of a wide table, by key and period unless not ``ordered``.
+
+    ``position`` names the column of ``raw`` that tells the source order of its rows, which decides between rows of
+    one key and period. Without it the order of the scan does.
 
     Only the key and the mapped columns are read. ``allowed`` restricts the keys. The pruned and
     filtered input is written to the shared folder once, so that the wide source is parsed, and its rows are
@@ -110,7 +115,10 @@ def reshape_table(
         raise ValueError("no mapped column is in the wide table")
     topics = by_table(used)
     columns = list(dict.fromkeys([key, *[m.source for m in used]]))
-    rows = raw.select(*[raw[f"`{c}`"] for c in columns])
+    if ordered and position is None:
+        raw, position = raw.withColumn(POSITION, F.monotonically_increasing_id()), POSITION
+    carried = [position] if ordered and position else []
+    rows = raw.select(*[raw[f"`{c}`"] for c in columns], *carried)
     if limit is not None:
         rows = rows.limit(limit)
     if allowed is not None:
@@ -119,9 +127,9 @@ def reshape_table(
         rows = staged(rows if counts is None else counts.leaving(rows, "wide", "read"), "wide")
     tables = {}
     for name, columns_of in topics.items():
-        table = wide_to_long(rows, key, period, columns_of)
+        table = wide_to_long(rows, key, period, columns_of, carried)
         if ordered:
-            table = stable_order(table, [key, period])
+            table = stable_order(table, [key, period], position)
         if counts is not None:
             # Above the sort, whose sample would be counted too.
             table = counts.leaving(table, "table", name)
@@ -140,6 +148,7 @@ def reshape_files(
     limit: int | None = None,
     sanitize: bool = True,
     ordered: bool = True,
+    block_bytes: int | None = None,
 ) -> Reshape:
     """Topic tables from files: wide data, mapping, optional dictionary and allowed communes."""
     counts = Counts()
@@ -149,14 +158,15 @@ def reshape_files(
         raise ValueError(f"{raw_path} lacks {GEO_CODE}")
     codes = {m.source for m in mapping}
     columns = [c for c in header if c == GEO_CODE or c in codes]
-    raw = read_table(spark, raw_path, sep, encoding, columns)
+    place = POSITION if ordered else None
+    raw = read_table(spark, raw_path, sep, encoding, columns, position=place, block_bytes=block_bytes)
     allowed = None
     if geo_path is not None:
         allowed = read_keys(spark, geo_path, "code_commune", sep, encoding).withColumnRenamed(
             "code_commune", GEO_CODE
         )
     built = reshape_table(
-        raw, mapping, allowed=allowed, limit=limit, sanitize=sanitize, ordered=ordered, counts=counts
+        raw, mapping, allowed=allowed, limit=limit, sanitize=sanitize, ordered=ordered, counts=counts, position=place
     )
     unknown: list[str] = []
     if meta_path is not None:

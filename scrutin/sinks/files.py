@@ -50,20 +50,6 @@ def write_tables(
         write_delimited(table, f"{folder.rstrip('/')}/{name}.csv", sep, encoding)
 
 
-def write_periods(df: DataFrame, uri: str, period: str = "annee_election") -> None:
-    """A parquet dataset partitioned by period. Rewriting a period leaves the others alone.
-
-    The rebalance hint gathers a period into few files and still splits a large one.
-    """
-    (
-        df.hint("rebalance", period)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(period)
-        .parquet(uri)
-    )
-
-
 def register_views(tables: Mapping[str, DataFrame]) -> None:
     """Make the tables available to SQL under their names."""
     for name, table in tables.items():

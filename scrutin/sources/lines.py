@@ -37,7 +37,7 @@ def charset(encoding: str) -> str:
     return CHARSETS.get(encoding.lower(), encoding)
 
 
-def _block_reader(spark: SparkSession, block_bytes: int | None) -> SparkSession:
+def block_reader(spark: SparkSession, block_bytes: int | None) -> SparkSession:
     """A session whose file scans hold exactly one file block per task."""
     reader = spark.newSession()
     # Everything derived from these lines runs in the new session, so it gets the caller's settings.
@@ -57,6 +57,11 @@ def _block_reader(spark: SparkSession, block_bytes: int | None) -> SparkSession:
     return reader
 
 
+def row_in_block() -> Column:
+    """The number of a row within its task, which a block reader's scan makes that within its block."""
+    return F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+
+
 def read_lines(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -70,15 +75,14 @@ def read_lines(
     if name != "UTF-8":
         # The text reader itself does not decode.
         line = F.decode(line.cast("binary"), name)
-    slot = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     return (
-        _block_reader(spark, block_bytes)
+        block_reader(spark, block_bytes)
         .read.text(paths)
         .select(
             line.alias(LINE),
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
-            slot.alias("row"),
+            row_in_block().alias("row"),
         )
     )
 

@@ -77,14 +77,14 @@ def selected_years(text: str | Iterable[int]) -> list[int]:
 # --- file system -----------------------------------------------------------------------------
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     sc = spark.sparkContext
     hadoop_path = sc._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(sc._jsc.hadoopConfiguration()), hadoop_path
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, hadoop_path = _file_system(spark, path)
+    fs, hadoop_path = file_system(spark, path)
     return fs.exists(hadoop_path)
 
 
@@ -95,7 +95,7 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     """
     if source_by_file(path) is not None:
         return False
-    fs, hadoop_path = _file_system(spark, path)
+    fs, hadoop_path = file_system(spark, path)
     return fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isDirectory()
 
 

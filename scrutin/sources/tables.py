@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from scrutin.functions.text import null_missing_fields, stripped
 from scrutin.operators.project import clean_header, quoted_name
-from scrutin.sources.lines import charset
+from scrutin.sources.lines import block_reader, charset, row_in_block
 
 
 def _reader(spark: SparkSession, sep: str, encoding: str) -> DataFrameReader:
@@ -33,13 +33,17 @@ def read_table(
     columns: Sequence[str] | None = None,
     limit: int | None = None,
     missing_fields: bool = True,
+    position: str | None = None,
+    block_bytes: int | None = None,
 ) -> DataFrame:
     """A delimited file with every column as text.
 
     ``columns`` prunes the scan, ``limit`` keeps any so many rows, ``missing_fields`` turns the
-    usual spellings of a missing field into null.
+    usual spellings of a missing field into null. ``position`` names a column with the place of each row in the
+    source: a struct ``(file, block, row)`` that sorts in the order of the files, whatever the number of tasks, and
+    stays true through stages, shuffles and joins. ``block_bytes`` is the size of its blocks.
     """
-    table = _reader(spark, sep, encoding).csv(path)
+    table = _reader(block_reader(spark, block_bytes) if position else spark, sep, encoding).csv(path)
     names = list(columns) if columns is not None else table.columns
     absent = [c for c in names if c not in table.columns]
     if absent:
@@ -47,7 +51,8 @@ def read_table(
     cells = [F.col(quoted_name(c)) for c in names]
     if missing_fields:
         cells = [null_missing_fields(c) for c in cells]
-    out = table.select(*[cell.alias(name) for cell, name in zip(cells, names)])
+    place = [F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), row_in_block().alias("row")).alias(position)] if position else []
+    out = table.select(*[cell.alias(name) for cell, name in zip(cells, names)], *place)
     return out.limit(limit) if limit is not None else out
 
 
@@ -70,8 +75,3 @@ def read_objects(spark: SparkSession, uris: str | Sequence[str]) -> DataFrame:
     """Parquet datasets under any Hadoop URI; objects with other columns are merged by name."""
     paths = [uris] if isinstance(uris, str) else list(uris)
     return spark.read.option("mergeSchema", len(paths) > 1).parquet(*paths)
-
-
-def read_periods(spark: SparkSession, uri: str, period: str, periods: Sequence) -> DataFrame:
-    """Selected periods of a dataset partitioned by period; the others are not read."""
-    return spark.read.parquet(uri).filter(F.col(period).isin(*periods))

@@ -92,7 +92,7 @@ def test_dense_ids_follow_the_order(spark, partitions):
 
 def test_stable_order_keeps_input_order_within_a_key(spark):
     df = spark.createDataFrame([("b", 1), ("a", 9), ("b", 0), ("a", 2)], "k string, v int").coalesce(1)
-    assert [tuple(r) for r in stable_order(df, ["k"]).collect()] == [("a", 9), ("a", 2), ("b", 1), ("b", 0)]
+    assert [tuple(r) for r in stable_order(df.withColumn("place", F.monotonically_increasing_id()), ["k"], "place").collect()] == [("a", 9), ("a", 2), ("b", 1), ("b", 0)]
 
 
 def test_contradictory_mappings_are_refused():
