@@ -287,8 +287,9 @@ def jaccard_groups(
     roots = components(links, "ngram-components")
     nodes = named.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     rooted = nodes.join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    placed = to_one(rooted, least, "root").select("node", "component_id")
+    rooted = kept(rooted, "ngram-roots")
+    least = kept(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")), "ngram-least")
+    placed = kept(to_one(rooted, least, "root").select("node", "component_id"), "ngram-placed")
     return to_one(named, placed, "node").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
@@ -409,7 +410,7 @@ def _pair(a: str, b: str) -> list[Column]:
 
 def _star(lists: DataFrame, percent: int) -> DataFrame:
     """Each node of a list with the list's most central one: the one with the fewest items of its own."""
-    centre = lists.groupBy("item").agg(F.min(F.struct("alone", "node", "n")).alias("c"))
+    centre = kept(lists.groupBy("item").agg(F.min(F.struct("alone", "node", "n")).alias("c")), "ngram-centres")
     paired = to_one(lists, centre, "item").filter(F.col("node") != F.col("c.node"))
     fits = 100 * F.least("n", "c.n") >= percent * F.greatest("n", "c.n")
     return paired.filter(fits).select(*_pair("node", "c.node")).distinct()
@@ -420,6 +421,7 @@ def _rest(lists: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) ->
     placed = lists.join(roots, "node", "left").select("item", "node", F.coalesce("root", "node").alias("root"))
     open_lists = placed.groupBy("item").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
     open_lists = open_lists.filter("low <> high").select("item", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    open_lists = kept(open_lists, "ngram-open")
     mine = to_one(placed, open_lists, "item").filter("blocks is not null").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # A list of one block is compared once; a larger one, every pair of blocks in a group of its own.
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))

@@ -30,12 +30,19 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+#: Rows of a table that is joined by broadcast whole (some 24 bytes each).
+BROADCAST_ROWS = 500_000
 #: Rows of one key from which joins answer it by broadcast; N rows have at most N / HOT_ROWS such keys.
 HOT_ROWS = 100_000
 
 
 def to_one(many: DataFrame, one: DataFrame, key: str) -> DataFrame:
-    """Left join of ``many`` to ``one``, which has one row per ``key``; keys with very many rows are joined by broadcast."""
+    """Left join of ``many`` to ``one``, a written table of few columns with one row per ``key``.
+
+    A table of a bounded number of rows is broadcast; of a larger one, the keys with very many rows are.
+    """
+    if one.count() <= BROADCAST_ROWS:
+        return many.join(F.broadcast(one), key, "left")
     weights = many.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
     return lookup(many, one.join(weights, key), [key], weight="__rows", hot_rows=HOT_ROWS)
 
