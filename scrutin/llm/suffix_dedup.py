@@ -10,8 +10,9 @@ Strings that can be equal are brought together first, then compared by suffix ar
 3. A shard sorts its suffixes by Larsson-Sadakane refinement (only groups that are not sorted yet are sorted
    again, by ranks at doubled distance) and takes common prefixes by Kasai's rule, in lanes. Neighbours with
    ``size`` bytes in common are repeats. The shards of a split name are merged by sorted runs of their
-   strings' hashes: a range of hashes sees all runs, and each shard's run is looked up by binary search among
-   the strings that several shards have. So a name costs in proportion to its segments, however many.
+   strings' hashes: a range of hashes sees all runs and tells which hashes several shards have, and each shard finds
+   its own strings among those by binary search. Bytes are not compared across shards. So a name costs in
+   proportion to its segments, however many.
 4. The spans go back to all places with the same segment.
 
 Equal segments of one task are combined before they are shuffled, and equal texts are one text, all of which
@@ -375,8 +376,15 @@ def _texts_of(models: DataFrame, rows: DataFrame, texts: DataFrame) -> DataFrame
     """``models`` with the ``bytes`` of their segments."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            for value, wanted in zip(batch.column("text"), batch.column("wanted"), strict=True):
+            for value, wanted, of in zip(batch.column("text"), batch.column("wanted"), batch.column("of").to_pylist(), strict=True):
+                # Rows with one id and text meet in one task, or in as many as read them; one of them is enough.
+                if of in seen:
+                    continue
+                if len(seen) >= SEEN_TEXTS:
+                    seen.clear()
+                seen.add(of)
                 data = value.as_py().encode()
                 w = wanted.values
                 starts, lengths = w.field("start").to_pylist(), w.field("length").to_pylist()
@@ -387,7 +395,7 @@ def _texts_of(models: DataFrame, rows: DataFrame, texts: DataFrame) -> DataFrame
 
     wanted = models.groupBy(F.col("text").alias("of")).agg(F.collect_list(F.struct("name", "digest", "weight", "start", "length")).alias("wanted"))
     placed = wanted.join(texts.select("name", "id"), F.col("of") == F.col("name")).select("id", "of", "wanted")
-    both = rows.join(placed, (rows["id"].eqNullSafe(placed["id"])) & (F.col("name") == F.col("of"))).select("text", "wanted")
+    both = rows.join(placed, (rows["id"].eqNullSafe(placed["id"])) & (F.col("name") == F.col("of"))).select("text", "wanted", "of")
     return both.mapInArrow(cut, "name bigint, digest bigint, weight bigint, bytes binary")
 
 

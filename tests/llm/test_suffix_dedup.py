@@ -85,3 +85,13 @@ def test_equals_brute_force(spark, monkeypatch, size, crowd, run):
 
 def test_empty_table(spark):
     assert remove_repeats(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_many_identical_rows_cost_no_more_than_a_few(spark):
+    text = "".join(chr(97 + (k * k) % 23) for k in range(900))
+    rows = [(7, text)] * 3000 + [(8, text[:300] + "#"), (9, "short"), (10, "x" + text[400:700])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    left = suffix_dedup.remove_repeats(docs)
+    got = {tuple(r) for r in left.select("doc_id", "n_bytes", "n_removed", "n_spans").collect()}
+    assert got == {(7, 900, 900, 1), (8, 301, 300, 1), (9, 5, 0, 0), (10, 301, 300, 1)}
+    assert left.count() == len(rows)
