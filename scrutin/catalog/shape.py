@@ -173,7 +173,7 @@ def unknown_fact(spark: SparkSession, folder: str) -> DataFrame:
     buyers, size = _buyers(spark, folder)
     people = table(spark, folder, "customer").select("c_custkey", F.col("c_custkey").alias("o_custkey"))
     joined = lookup(
-        people, buyers.select("o_custkey", "buyer_sk"), ["o_custkey"], right_rows=size
+        people, buyers.select("o_custkey", "buyer_sk"), ["o_custkey"], right_rows=size, checked="buyers"
     )
     return joined.select("c_custkey", F.coalesce("buyer_sk", F.lit(0)).alias("buyer_sk"))
 

@@ -213,6 +213,13 @@ def test_folder_build_skips_or_fails_and_keeps_common_communes(spark, folder):
         E.build_flat(spark, f"{folder}/MN08_BVot_T1T2.txt", "2014")
 
 
+def test_default_folder(spark, folder, monkeypatch):
+    monkeypatch.setattr(E, "locate", lambda spark, source, path: [f"{path}/{f}" for f in source.files])
+    monkeypatch.setattr(E, "READERS", {2008: lambda spark, paths, encoding, year: (_ for _ in ()).throw(LookupError(paths[0]))})
+    with pytest.raises(LookupError, match="raw_data/MN08_BVot_T1T2.txt"):
+        E.load_year(spark, 2008)
+
+
 def test_year_selection():
     assert selected_years(" ALL ") == [2008, 2014, 2020, 2026]
     assert selected_years("2020, 2008,2020") == [2020, 2008]

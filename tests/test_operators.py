@@ -143,3 +143,17 @@ def test_indicator_files(spark, folder):
     ]
     with pytest.raises(ValueError):
         I.reshape_files(spark, geo, mapping)
+
+
+def test_limit_keeps_any_so_many_rows(spark, folder):
+    with open(f"{folder}/raw.csv", "w") as out:
+        out.write("CODGEO;P1\n" + "".join(f"{k:05d};{k}\n" for k in range(50)))
+    with open(f"{folder}/mapping.csv", "w") as out:
+        out.write("source_code;target_table;canonical_metric;data_type;available_years\nP1;t;m;NUM;2011\n")
+    built = I.reshape_files(spark, f"{folder}/raw.csv", f"{folder}/mapping.csv", limit=7)
+    found = built.tables["t"].collect()
+    assert len(found) == 7 and all(int(r.CODGEO) == r.m for r in found)
+    assert [r.CODGEO for r in found] == sorted(r.CODGEO for r in found)
+    assert [tuple(r) for r in built.counts.report(spark).collect()] == [
+        ("mapping", "usable", 1, 1, 0), ("wide", "read", None, 7, None), ("table", "t", None, 7, None)
+    ]
