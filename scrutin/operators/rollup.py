@@ -31,7 +31,8 @@ def grains(
     each row is sent to both grains, whose partial results share a shuffle. The aggregated grains, smaller
     than the rows, are written to the shared folder once.
     """
-    names = [*([unit] if unit else []), *detail, *measures, votes]
+    # A column may serve both grains.
+    names = list(dict.fromkeys([*([unit] if unit else []), *detail, *measures, votes]))
     types = dict(df.dtypes)
 
     def side(grain: int, held: Sequence[str]) -> Column:

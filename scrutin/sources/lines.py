@@ -174,7 +174,7 @@ def sectioned(lines: DataFrame, markers: Sequence[str], section: str = "section"
 
 
 def _literal_pattern(sep: str) -> str:
-    return r"\Q" + sep + r"\E" if sep in r"\^$.|?*+()[]{}" else sep
+    return r"\Q" + sep + r"\E" if set(sep) & set(r"\^$.|?*+()[]{}") else sep
 
 
 def _without_trailing(text: Column, sep: str, drop_empty: str) -> Column:
@@ -221,22 +221,27 @@ def delimited(
     )
 
 
+def _quoted_field(quote: str) -> str:
+    """A quoted field: runs of other characters between doubled quotes, matched without stepping back."""
+    return f"{quote}[^{quote}]*+(?:{quote}{quote}[^{quote}]*+)*+{quote}"
+
+
 def field_count(record: Column, sep: str, quote: str = '"') -> Column:
     """Number of fields of a quoted record: separators outside quotes, plus one.
 
     A quote opens a field at its beginning only; elsewhere it is text.
     """
-    mark = _literal_pattern(sep)
-    opened = f"(^|{mark}){quote}(?:[^{quote}]|{quote}{quote})*+{quote}"
-    return _count_fields(F.regexp_replace(record, opened, "$1"), sep)
+    opened = f"(^|{_literal_pattern(sep)}){_quoted_field(quote)}"
+    bare = F.regexp_replace(record, opened, "$1")
+    return F.when(F.contains(record, F.lit(quote)), _count_fields(bare, sep)).otherwise(_count_fields(record, sep))
 
 
 def is_cut(line: Column, sep: str, quote: str = '"') -> Column:
     """True when a quoted field is still open at the end of the line."""
     mark = _literal_pattern(sep)
-    closed = f"(^|{mark}){quote}(?:[^{quote}]|{quote}{quote})*+{quote}"
-    left = F.regexp_replace(line, closed, "$1")
-    return F.contains(line, F.lit(quote)) & left.rlike(f"(^|{mark}){quote}")
+    rest = f"(?:(?!{mark})[\\s\\S])*+" if len(sep) > 1 else f"[^\\Q{sep}\\E]*+"
+    field = f"(?:{_quoted_field(quote)}{rest}|(?!{quote}){rest})"
+    return F.contains(line, F.lit(quote)) & ~line.rlike(f"\\A{field}(?:{mark}{field})*+\\z")
 
 
 def quoted(

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from scrutin.functions import lenient_long, localised_double, padded_code, star_commune_code, stripped
+from scrutin.operators import integrity, rollup
+from scrutin.scratch import staged
 from scrutin.sources.tables import read_table
 
 SMALL = entry.SMOKE_DIR
@@ -27,9 +29,23 @@ def test_plan_stays_distributed(spark, name):
     assert not re.search(r"Python|CartesianProduct|BroadcastNestedLoopJoin", text)
 
 
-def test_scans_are_pruned(spark, folder):
-    text = plan(entry.queries()["q_grain_check"](spark, SMALL))
-    assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in text
+def test_scans_are_pruned(spark, folder, monkeypatch):
+    written = []
+
+    def recorded(df, *args):
+        written.append(plan(df))
+        return staged(df, *args)
+
+    monkeypatch.setattr(integrity, "staged", recorded)
+    monkeypatch.setattr(rollup, "staged", recorded)
+    entry.queries()["q_grain_check"](spark, SMALL)
+    # The uniqueness rules of both tables: pruned scans, one shuffle.
+    assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in written[0]
+    assert "ReadSchema: struct<o_orderkey:bigint>" in written[0] and written[0].count("Exchange hashpartitioning") == 1
+    # Both grains of a rollup: one scan of the rows.
+    entry.queries()["q_finalize"](spark, SMALL)
+    assert written[-1].count("Location: InMemoryFileIndex") == written[-1].count("FileScan parquet")
+    assert written[-1].count("lineitem.parquet") == 1 and "SinglePartition" not in written[-1]
     with open(f"{folder}/w.csv", "w") as f:
         f.write("a;b;c\n1;2;3\n")
     assert "ReadSchema: struct<b:string>" in plan(read_table(spark, f"{folder}/w.csv", columns=["b"]))
