@@ -80,13 +80,13 @@ _CUT_TAG = re.compile(r"<[a-zA-Z/!?]")
 class _Element:
     """An open element. ``drop``: its lines are not of the article; ``sure``: by its tag, not by its name."""
 
-    __slots__ = ("tag", "parent", "depth", "drop", "sure", "mass", "heads", "text", "linked", "items")
+    __slots__ = ("tag", "parent", "depth", "drop", "sure", "mass", "own", "heads", "text", "linked", "items")
 
     def __init__(self, tag: str, parent: _Element | None):
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
         self.drop = self.sure = False
-        self.mass = 0  # characters of clusters below it
+        self.mass = self.own = 0  # characters of clusters below it, and of those in no smaller region
         self.heads = 0  # headings below it
         self.text = self.linked = self.items = 0  # characters of a list, those in links, its lines
 
@@ -270,12 +270,15 @@ def _region(owners: list[_Element], chars: list[int], high: list[bool]) -> _Elem
         for e in owner.above():
             if e.tag in _REGIONS or e.parent is None:
                 e.mass += mass
+                if under is None:
+                    e.own += mass
                 e.heads += head
                 if under is not None:
                     below.setdefault(e, {})[under] = None
                 under = e
     at = next(e for e in owners[0].above() if e.parent is None)
-    while at.tag != "article":
+    # Text of the clusters that lies in an element itself, and not in a smaller one, keeps all of the element.
+    while at.tag != "article" and not at.own:
         inner = [e for e in below.get(at, ()) if e.mass >= SHARE * total]
         # A heading beside the inner element belongs to the text; the page's own headings do not hold an article back.
         if not inner or (inner[0].heads < at.heads and inner[0].tag not in _ARTICLE and at.tag not in ("#page", "html")):
