@@ -100,3 +100,19 @@ def test_maps_compose(spark):
     df = spark.createDataFrame(rows, "g int, k int, o boolean, i boolean")
     got = {(r.g, r.k): (r.s0, r.s1) for r in R.with_states(df, ["g"], "k", "o", "i").collect()}
     assert got == want
+
+
+def test_lines_of_records_are_told_apart_without_their_paths(spark, folder, monkeypatch):
+    rng = random.Random(7)
+    texts = {"a.csv": make(rng, 80), "plain.csv": "r;1\n" * 100}
+    for name, text in texts.items():
+        with open(f"{folder}/{name}", "w", encoding="utf-8", newline="") as out:
+            out.write(text)
+    found = R.records(L.read_lines(spark, folder, "utf-8", 200))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # Once by file and block, then by one number for 64 lines.
+    assert "__lines" in plan and "head_row" not in plan
+    # Neither do other sizes that are joined otherwise change the records.
+    monkeypatch.setattr(R, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(R, "BROADCAST_LINES", 0)
+    assert read(spark, folder, 200) == wanted(texts)
