@@ -124,7 +124,7 @@ def reshape_table(
     if allowed is not None:
         rows = counted(counts, rows, "wide", "allowed keys", lambda rows: semi(rows, allowed, [key]))
     if len(topics) > 1 or counts is not None:
-        rows = staged(rows if counts is None else counts.leaving(rows, "wide", "read"), "wide")
+        rows = staged(rows if counts is None else counts.leaving(rows, "wide", "read"), "wide", small=True)
     tables = {}
     for name, columns_of in topics.items():
         table = wide_to_long(rows, key, period, columns_of, carried)
