@@ -157,3 +157,15 @@ def test_limit_keeps_any_so_many_rows(spark, folder):
     assert [tuple(r) for r in built.counts.report(spark).collect()] == [
         ("mapping", "usable", 1, 1, 0), ("wide", "read", None, 7, None), ("table", "t", None, 7, None)
     ]
+
+
+def test_joins_on_several_keys_sort_by_a_hash_first(spark):
+    left = spark.createDataFrame([("a", 1, 7), (None, 1, 8), ("a", None, 9), ("b", 2, 10)], "k string, n int, v int")
+    right = left.select("k", "n", (F.col("v") * 10).alias("w"), F.lit(1).alias("rows")).filter("v <> 10").hint("merge")
+    found = lookup(left, right, ["k", "n"], weight="rows")
+    assert rows(found) == sorted([("a", 1, 7, 70), (None, 1, 8, 80), ("a", None, 9, 90), ("b", 2, 10, None)], key=repr)
+    assert "__digest" in found._jdf.queryExecution().optimizedPlan().toString()
+    # The two zeros are equal but have different hashes.
+    floats = spark.createDataFrame([("a", -0.0)], "k string, x double")
+    table = spark.createDataFrame([("a", 0.0, 5, 1)], "k string, x double, w int, rows int")
+    assert [r.w for r in lookup(floats, table, ["k", "x"], weight="rows").collect()] == [5]
