@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
+from scrutin.scratch import small_tasks
 from scrutin.sources.lines import charset
 
 DEFAULT_STEM = "elections_flat"
@@ -47,7 +48,8 @@ def write_tables(
 ) -> None:
     """One delimited dataset per table."""
     for name, table in tables.items():
-        write_delimited(table, f"{folder.rstrip('/')}/{name}.csv", sep, encoding)
+        with small_tasks(table.sparkSession):
+            write_delimited(table, f"{folder.rstrip('/')}/{name}.csv", sep, encoding)
 
 
 def register_views(tables: Mapping[str, DataFrame]) -> None:

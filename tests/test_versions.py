@@ -75,3 +75,15 @@ def test_positions_follow_the_files(spark, folder, block):
     got = [r.n for r in shuffled.orderBy("place").collect()]
     assert got == [f"{f}{k:03d}" for f in "ab" for k in range(60) if (f, k) != ("a", 5)]
     assert rows(table.select(F.count(F.lit(1)))) == [(120,)]
+
+
+def test_small_blocks_share_tasks_and_positions_hold_no_path(spark, folder):
+    with open(f"{folder}/a b%.csv", "w") as out:
+        out.write("n\n" + "".join(f"{k:05d}\n" for k in range(4000)))
+    with open(f"{folder}/b.csv", "w") as out:
+        out.write("n\n" + "".join(f"{k:05d}\n" for k in range(4000, 4100)))
+    table = read_table(spark, folder, position="place", block_bytes=100)
+    assert table.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism < 24000 // 100
+    assert dict(table.dtypes)["place"] == "struct<file:int,block:bigint,row:bigint>"
+    placed = table.repartition(5, "n").orderBy("place").select("n").collect()
+    assert [int(r.n) for r in placed] == list(range(4100))
