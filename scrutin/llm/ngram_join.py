@@ -35,6 +35,8 @@ from scrutin.llm.tables import components, kept, partitions, to_one
 
 #: N-grams of a fragment in the first pass, about. More than that only slows a task down.
 FRAGMENT_ITEMS = 2_000_000
+#: N-grams that a task counts among themselves before it deals them; some ten arrays of their length are held.
+DEALT_ITEMS = 500_000
 #: N-grams of a fragment when those that remain are counted.
 LEFT_ITEMS = 1_000_000
 #: Nodes of a range for which the counts of all fragments are summed in one task.
@@ -304,8 +306,8 @@ def _links(rows: DataFrame, named: DataFrame, n: int, percent: int) -> DataFrame
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        waiting, held = {}, 0
         for batch in batches:
-            waiting, held = {}, 0
             for piece in T.slices(batch.column(0)):
                 for items in sets_of(piece, n):
                     if not len(items) or (node := name_of(items)) in seen:
@@ -316,11 +318,11 @@ def _links(rows: DataFrame, named: DataFrame, n: int, percent: int) -> DataFrame
                     # A set that is forgotten may come again, and must not meet itself.
                     waiting[node] = items
                     held += len(items)
-                    if held > FRAGMENT_ITEMS:
+                    if held > DEALT_ITEMS:
                         yield _deal_counts(list(waiting.items()), fragments, ranges)
                         waiting, held = {}, 0
-            if waiting:
-                yield _deal_counts(list(waiting.items()), fragments, ranges)
+        if waiting:
+            yield _deal_counts(list(waiting.items()), fragments, ranges)
 
     # A copy of a set in another task counts as sharing, so this keeps more than it must, never less.
     counted = rows.select("text").mapInArrow(deal, _DEALT).groupBy("frag").applyInArrow(_shared_counts(ranges), _COUNTED)
