@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from scrutin.operators import periods
 from scrutin.operators.keys import dense_id, stable_order
 from scrutin.operators.lookup import lookup
 from scrutin.operators.periods import present_in_all
@@ -169,3 +170,16 @@ def test_joins_on_several_keys_sort_by_a_hash_first(spark):
     floats = spark.createDataFrame([("a", -0.0)], "k string, x double")
     table = spark.createDataFrame([("a", 0.0, 5, 1)], "k string, x double, w int, rows int")
     assert [r.w for r in lookup(floats, table, ["k", "x"], weight="rows").collect()] == [5]
+
+
+@pytest.mark.parametrize("limit", [500_000, 2, -1])
+def test_present_rows_stay_where_they_are(spark, monkeypatch, limit):
+    data = [(n, k, p) for n in range(3) for k in "abcde" for p in (1, 2) if k != "b" or p == 1] + [(9, None, 1), (9, "a", None)]
+    df = spark.createDataFrame(data, "n int, k string, p int")
+    monkeypatch.setattr(periods, "BROADCAST_KEYS", limit)
+    for frame, whole in ((df, "acde"), (df.filter("p = 1 or k = 'a'"), "a")):
+        for scope in (None, [1, 2]):
+            got = present_in_all(frame, "k", "p", scope)
+            assert got.columns == ["n", "k", "p"]
+            assert rows(got) == sorted([(n, k, p) for n, k, p in rows(frame) if k in set(whole) and p is not None], key=repr)
+            assert limit < 0 or "Exchange hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()

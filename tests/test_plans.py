@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from scrutin.catalog.views import ballot_lines
 from scrutin.functions import lenient_long, localised_double, padded_code, star_commune_code, stripped
 from scrutin.operators import integrity, rollup
 from scrutin.scratch import staged
@@ -78,3 +79,8 @@ def test_codes_and_whitespace(spark):
         ("É X", "00é x", "é x"), ("00001", "00001", "1"),
     ]
     assert df.select(F.count("v")).first()[0] == 4
+
+
+def test_orders_meet_customers_before_lines(spark):
+    text = ballot_lines(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("(l_orderkey#") < text.index("(o_custkey#")
