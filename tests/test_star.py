@@ -1,10 +1,14 @@
 """Star schema: keys, spellings, unknown members, validation, sinks."""
 
+from dataclasses import replace
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from scrutin.operators.keys import dense_id
 from scrutin.operators.rules import assert_valid
+from scrutin.plans import star
 from scrutin.plans.star import build_star, read_flat, star_report
 from scrutin.schemas import FLAT, STAR_COLUMNS
 from scrutin.sinks import jdbc
@@ -95,3 +99,20 @@ def test_database_gets_dimensions_before_facts(monkeypatch):
     monkeypatch.setattr(jdbc, "write_jdbc", lambda df, url, table, properties: written.append(table))
     jdbc.write_star({name: None for name in reversed(STAR_COLUMNS)}, "jdbc:x")
     assert written == [f"public.{n}" for n in STAR_COLUMNS]
+
+
+def test_facts_are_numbered_without_natural_keys(spark, monkeypatch):
+    seen = []
+
+    def recorded(df, order, name):
+        seen.append((name, df.columns))
+        return dense_id(df, order, name)
+
+    prepared = star.prepare(flat(spark))
+    members = [star.dimension(prepared, name) for name in star.DIMENSIONS]
+    monkeypatch.setattr(star, "dense_id", recorded)
+    few = [m if k < 2 else replace(m, keys=m.keys.filter("candidat_sk <> 1")) for k, m in enumerate(members)]
+    assert rows(star.fact_results(prepared, *members)) == [(1, 1, 1, 2, None), (2, 1, 2, 1, 20), (3, 1, 2, 2, 10), (4, 2, 2, 1, 30)]
+    # Rows without a member come last among those with the same other keys.
+    assert rows(star.fact_results(prepared, *few, unknown_members=True)) == [(1, 1, 1, 2, None), (2, 1, 2, 2, 10), (3, 1, 2, 0, 20), (4, 2, 2, 0, 30)]
+    assert [c for _, columns in seen for c in columns if c in ("code_commune", "election_nk", "candidat_nk")] == []
