@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrutin.llm import text as T
+from scrutin.llm.workers import emptied
 
 WINDOW = 13
 #: Bytes of benchmark text that are broadcast at once.
@@ -197,11 +198,11 @@ def _empty() -> pa.Array:
 
 def _searched(text: Column, before: Column | None, shared) -> Column:
     def first(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in columns:
+        for column in emptied(columns):
             yield pa.concat_arrays([*_search(column, None, shared.value)] or [_empty()])
 
     def later(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for column, past in columns:
+        for column, past in emptied(columns):
             yield pa.concat_arrays([*_search(column, past, shared.value)] or [_empty()])
 
     if before is None:

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from scrutin.llm import text as T
 from scrutin.llm.tables import components, kept, partitions, to_one
+from scrutin.llm.workers import emptied
 
 #: N-grams of a fragment in the first pass, about. More than that only slows a task down.
 FRAGMENT_ITEMS = 2_000_000
@@ -79,7 +80,7 @@ def needed(n: int, percent: int) -> int:
 
 def _named(n: int):
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in columns:
+        for column in emptied(columns):
             found = [s for p in T.slices(column) for s in sets_of(p, n)]
             sizes = pa.array([len(s) for s in found], pa.int64())
             names = pa.array([name_of(s) if len(s) else None for s in found], pa.int64())
@@ -307,7 +308,7 @@ def _links(rows: DataFrame, named: DataFrame, n: int, percent: int) -> DataFrame
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         waiting, held = {}, 0
-        for batch in batches:
+        for batch in emptied(batches):
             for piece in T.slices(batch.column(0)):
                 for items in sets_of(piece, n):
                     if not len(items) or (node := name_of(items)) in seen:
@@ -343,7 +344,7 @@ def _sets(rows: DataFrame, able: DataFrame, n: int) -> DataFrame:
     """One row per node and segment: ``node``, ``n``, ``seg``, ``items`` and, in segment 0, the ``sketch``."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in emptied(batches):
             want = batch.column(1).to_pylist()
             for piece in T.slices(batch.column(0)):
                 out = []
@@ -374,7 +375,7 @@ def _lists(sets: DataFrame, percent: int) -> DataFrame:
     fragments = total // LEFT_ITEMS + 1
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in emptied(batches):
             sizes = batch.column("n").to_pylist()
             rows = list(zip(batch.column("node").to_pylist(), batch.column("items"), strict=True))
             dealt = _deal([(node, v.values.to_numpy().astype(T.U64)) for node, v in rows], fragments, False)
@@ -386,7 +387,7 @@ def _lists(sets: DataFrame, percent: int) -> DataFrame:
             yield dealt.set_column(2, "sizes", pa.array(whole, pa.binary()))
 
     def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in emptied(batches):
             out = []
             for row in batch.to_pylist():
                 items = np.frombuffer(b"".join(p["items"] for p in row["parts"]), T.U64)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from scrutin.llm.tables import kept
 from scrutin.llm.tokens import encoder
+from scrutin.llm.workers import emptied
 
 CAPACITY = 4096
 END_ID = 1
@@ -144,7 +145,7 @@ _RANK_BITS = 48
 
 def _place(batches: Iterator[pa.RecordBatch], runs: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
     keys = (runs["size"] << _RANK_BITS) + runs["rank"]
-    for batch in batches:
+    for batch in emptied(batches):
         length = batch.column("length").to_numpy()
         rank = batch.column("rank").to_numpy()
         at = np.searchsorted(keys, (length << _RANK_BITS) + rank, "right") - 1

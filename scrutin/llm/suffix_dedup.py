@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from scrutin.llm import text as T
 from scrutin.llm.tables import kept, partitions
+from scrutin.llm.workers import emptied
 
 SIZE = 200
 GRAM = 32
@@ -240,7 +241,7 @@ def _places(rows: DataFrame, size: int, fragments: int) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in emptied(batches):
             names = batch.column(1).to_numpy()
             for piece in T.slices(batch.column(0)):
                 fresh = np.zeros(piece.rows, dtype=bool)
@@ -377,7 +378,7 @@ def _texts_of(models: DataFrame, rows: DataFrame, texts: DataFrame) -> DataFrame
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in emptied(batches):
             for value, wanted, of in zip(batch.column("text"), batch.column("wanted"), batch.column("of").to_pylist(), strict=True):
                 # Rows with one id and text meet in one task, or in as many as read them; one of them is enough.
                 if of in seen:
@@ -437,7 +438,7 @@ def repeats(rows: DataFrame, size: int) -> DataFrame:
 
 
 def _kept_bytes(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    for texts, cuts in columns:
+    for texts, cuts in emptied(columns):
         left, removed, runs, texts_left = [], [], [], []
         for value, spans in zip(texts, cuts, strict=True):
             data = (value.as_py() or "").encode()

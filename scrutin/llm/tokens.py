@@ -17,6 +17,8 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from scrutin.llm.workers import cache
+
 #: Parts whose ids a worker keeps at least; parts not used among twice as many are forgotten. About 200 bytes each.
 KEPT_PARTS = 400_000
 _PUNCTUATION = frozenset(".,;:!?")
@@ -26,7 +28,7 @@ _CONTROLS = "\x1c\x1d\x1e\x1f"
 _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_NAMES = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - _PRINTED))}
 _SPACE = chr(_BYTE_NAMES[32])
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[str, Encoder] = cache()
 
 
 def packed(ids: list[int]) -> bytes:
@@ -121,7 +123,7 @@ class Encoder:
 
 
 def encoder(name: str) -> Encoder:
-    """The encoder of a tokenizer file, one per worker; ``name`` is a path or a name in the public set."""
+    """The encoder of a tokenizer file, one per worker until another step runs there; ``name`` is a path or a name in the public set."""
     if name not in _encoders:
         _encoders[name] = Encoder(name if os.path.sep in name else public_tokenizers.path(name))
     return _encoders[name]

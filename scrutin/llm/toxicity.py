@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scrutin.llm import text as T
+from scrutin.llm.tables import small_batches
+from scrutin.llm.workers import emptied
 
 
 #: Models that thresholds are measured with, and equal ranges of scores that rows are counted in.
@@ -222,7 +224,7 @@ def score_counts(rows: DataFrame, labels: DataFrame, models: list[Model]) -> dic
     bits = models[0].options.bits
 
     def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in emptied(batches):
             folds, at, found = batch["__fold"].to_numpy(), 0, np.zeros(batch.num_rows)
             for piece in T.slices(batch["__text"]):
                 texts = texts_of(piece, bits)
@@ -242,7 +244,8 @@ def score_counts(rows: DataFrame, labels: DataFrame, models: list[Model]) -> dic
     binned = ids.mapInArrow(ranges, f"__id {kind}, __lang string, __bin int").groupBy("__id", "__lang", "__bin").agg(F.count(F.lit(1)).alias("n"))
     joined = binned.join(usable, F.col("__id") == F.col("__label_id"))
     # At most two rows for each language and range.
-    got = joined.groupBy("__lang", "__toxic", "__bin").agg(F.sum("n").alias("n")).collect()
+    with small_batches(rows.sparkSession):
+        got = joined.groupBy("__lang", "__toxic", "__bin").agg(F.sum("n").alias("n")).collect()
     counts: dict[str, np.ndarray] = {}
     for r in got:
         counts.setdefault(r["__lang"] or "", np.zeros((2, BINS), dtype=np.int64))[int(r["__toxic"] > 0), r["__bin"]] += r["n"]
@@ -271,7 +274,7 @@ def train(docs: DataFrame, labels: DataFrame, o: Options, text: str, lang: str |
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in emptied(batches):
             cells = []
             for piece in T.slices(batch.column(0)):
                 t = texts_of(piece, o.bits)
@@ -283,7 +286,8 @@ def train(docs: DataFrame, labels: DataFrame, o: Options, text: str, lang: str |
     # One row for each chosen id, that with the smallest hash.
     got = got.groupBy("__id").agg(F.min(F.struct("__hash", "__toxic", "words")).alias("row")).select("row.*")
     # Two numbers of four bytes for each word of the sample. Copies of a text are learned from once.
-    got = got.dropDuplicates(["__hash"]).toArrow().sort_by([("__hash", "ascending")])
+    with small_batches(docs.sparkSession):
+        got = got.dropDuplicates(["__hash"]).toArrow().sort_by([("__hash", "ascending")])
     y = got["__toxic"].to_numpy().astype(np.float32)
     got_hash = got["__hash"].to_numpy()
     sizes = [len(c) // 8 for c in got["words"].to_pylist()]
@@ -316,7 +320,7 @@ def score(
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def apply(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in columns:
+        for column in emptied(columns):
             found = [sigmoid(logits(shared.value, texts_of(p, options.bits)).astype(np.float64)) for p in T.slices(column)]
             yield pa.array(np.concatenate(found) if found else np.zeros(0))
 
